@@ -43,10 +43,8 @@ def good_prefix(outcomes: DataFrame, created: str = "created", tie: str = "Id",
     The first failure is one minimum, found without bringing the rows into order.
     """
     place = F.struct(F.col(created), F.col(tie))
-    first = outcomes.where(F.col(failed)).agg(F.min(place).alias("stop"))
-    return outcomes.join(first, F.lit(True), "left").where(
-        F.col("stop").isNull() | (place < F.col("stop"))
-    ).drop("stop")
+    stop = outcomes.where(F.col(failed)).agg(F.min(place)).scalar()
+    return outcomes.where(stop.isNull() | (place < stop))
 
 
 def advance_watermark(

@@ -29,15 +29,26 @@ def hour_path(root: str, **keys: str) -> str:
 
 
 def read_lines(
-    spark: SparkSession, root: str, paths: Sequence[str] | None = None, units: bool = True
+    spark: SparkSession,
+    root: str,
+    paths: Sequence[str] | None = None,
+    units: bool = True,
+    skip_damaged: bool = False,
 ) -> DataFrame:
     """Stored lines as text with their partition keys as strings.
 
-    ``units=False`` reads a layout whose objects lie directly in the hour folders.
+    ``units=False`` reads a layout whose objects lie directly in the hour folders. A
+    damaged object stops the scan; ``skip_damaged`` is for callers that have listed
+    the damaged ones by `scan_objects` and take their lines out.
     """
     keys = PART_KEYS if units else HOUR_KEYS
     schema = "value string, " + ", ".join(f"{k} string" for k in keys)
-    reader = spark.read.schema(schema).option("basePath", raw_root(root))
+    reader = (
+        spark.read.schema(schema)
+        .option("basePath", raw_root(root))
+        .option("lineSep", "\n")
+        .option("ignoreCorruptFiles", str(skip_damaged).lower())
+    )
     lines = reader.text(list(paths) if paths else raw_root(root))
     return lines.select(
         "value",
@@ -47,11 +58,15 @@ def read_lines(
 
 
 def read_archive(
-    spark: SparkSession, root: str, paths: Sequence[str] | None = None, units: bool = True
+    spark: SparkSession,
+    root: str,
+    paths: Sequence[str] | None = None,
+    units: bool = True,
+    skip_damaged: bool = False,
 ) -> DataFrame:
     """Archived records. Header fields keep the stored values; the sanitised path keys
     are `part_*` columns and prune the scan. The payload is the exact stored text."""
-    lines = read_lines(spark, root, paths, units).where(F.trim("value") != "")
+    lines = read_lines(spark, root, paths, units, skip_damaged).where(F.trim("value") != "")
     header = header_of(F.col("value"))
     kept = [c for c in lines.columns if c != "value"]
     return (
