@@ -73,6 +73,7 @@ from auditlake.sources.api import (
 from auditlake.sources.logfiles import (
     csv_lines,
     csv_rows,
+    file_id_of,
     file_status,
     malformed_files,
     read_raw_lines,
@@ -274,6 +275,7 @@ def poll_log_files(
     now: datetime,
     spec: LogFileSpec | None = None,
     fetches: DataFrame | None = None,
+    per_line: bool = False,
 ) -> DataFrame:
     """Archive the log files listed in the window, in order, up to the first failure.
 
@@ -287,7 +289,7 @@ def poll_log_files(
     if fetches is None:
         fetches = spark.createDataFrame([], "file_id string, status int, body string")
     listed, pending = pending_catalog(
-        read_log_catalog(spark, pages_dir), state.markers(instance, LOG_FILES, "", now), since, until, spec
+        read_log_catalog(spark, pages_dir, per_line), state.markers(instance, LOG_FILES, "", now), since, until, spec
     )
     listed, pending = stage(listed, "listed"), stage(pending, "pending")
 
@@ -325,7 +327,7 @@ def landed_files(spark: SparkSession, files_dir: str) -> DataFrame:
     """Id and size of every download, from the listing alone."""
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(files_dir)
-        .select(F.regexp_extract("path", r"([^/]+?)(?:\.csv)?$", 1).alias("file_id"), "path", "length")
+        .select(file_id_of(F.col("path")).alias("file_id"), "path", "length")
     )
 
 
@@ -467,7 +469,12 @@ def rows_in_window(rows: DataFrame, spec: QuerySpec, since: datetime, until: dat
 
 
 def poll_query(
-    spark: SparkSession, collector: Collector, spec: QuerySpec, pages_dir: str, now: datetime
+    spark: SparkSession,
+    collector: Collector,
+    spec: QuerySpec,
+    pages_dir: str,
+    now: datetime,
+    per_line: bool = False,
 ) -> str:
     """Archive the new row versions of one query; returns the query's fingerprint.
 
@@ -478,7 +485,7 @@ def poll_query(
     state, instance = collector.state, collector.instance
     fingerprint = spec.fingerprint(spark)
     since, until = collector.window(QUERY, fingerprint, now)
-    pages = read_pages(spark, pages_dir)
+    pages = read_pages(spark, pages_dir, per_line=per_line)
     broken = incomplete_result_sets(pages).head(1)
     if broken:
         raise RuntimeError(
@@ -532,10 +539,15 @@ def limit_records(limits: DataFrame, now: datetime) -> DataFrame:
 
 
 def poll_limits(
-    spark: SparkSession, collector: Collector, path: str, now: datetime, names: Sequence[str] | None = None
+    spark: SparkSession,
+    collector: Collector,
+    path: str,
+    now: datetime,
+    names: Sequence[str] | None = None,
+    per_line: bool = False,
 ) -> None:
     """Archive one snapshot of all limits; an empty one writes nothing."""
-    limits = read_limits(spark, path, names)
+    limits = read_limits(spark, path, names, per_line)
     if limits.isEmpty():
         return
     # Materialised by its literal unit name: one name for data and manifests.

@@ -34,6 +34,7 @@ def build(app: str, cores: str = "*", memory: str = "8g", partitions: int = 16)
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in RUNTIME_CONF.items():

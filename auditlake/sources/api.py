@@ -13,12 +13,17 @@ from auditlake.schemas import CATALOG, LIMIT_ENTRY
 PAGE = "totalSize bigint, done boolean, nextRecordsUrl string"
 
 
-def read_pages(spark: SparkSession, pages_dir: str, records: str = "array<string>") -> DataFrame:
-    """Result pages, one row per page. Rows read as strings keep their exact text,
-    number literals included. The folder of a page names its query."""
+def read_pages(
+    spark: SparkSession, pages_dir: str, records: str = "array<string>", per_line: bool = False
+) -> DataFrame:
+    """Result pages, one row per page: one page per file, or one per line.
+
+    Rows read as strings keep their exact text, number literals included. The folder
+    of a page names its query.
+    """
     return (
         spark.read.schema(f"{PAGE}, records {records}")
-        .option("multiLine", "true")
+        .option("multiLine", str(not per_line).lower())
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", "true")
         .json(pages_dir)
@@ -30,15 +35,15 @@ def read_pages(spark: SparkSession, pages_dir: str, records: str = "array<string
     )
 
 
-def read_log_catalog(spark: SparkSession, pages_dir: str) -> DataFrame:
+def read_log_catalog(spark: SparkSession, pages_dir: str, per_line: bool = False) -> DataFrame:
     """Log-file listing rows of all pages."""
-    pages = read_pages(spark, pages_dir, f"array<struct<{CATALOG}>>")
+    pages = read_pages(spark, pages_dir, f"array<struct<{CATALOG}>>", per_line)
     return pages.select(F.explode("records").alias("r")).select("r.*")
 
 
-def read_query_pages(spark: SparkSession, pages_dir: str) -> DataFrame:
+def read_query_pages(spark: SparkSession, pages_dir: str, per_line: bool = False) -> DataFrame:
     """Rows of all result pages as `(query, row_json)`."""
-    return read_pages(spark, pages_dir).select("query", F.explode("records").alias("row_json"))
+    return read_pages(spark, pages_dir, per_line=per_line).select("query", F.explode("records").alias("row_json"))
 
 
 def incomplete_result_sets(pages: DataFrame) -> DataFrame:
@@ -56,11 +61,11 @@ def incomplete_result_sets(pages: DataFrame) -> DataFrame:
 
 
 def read_limits(
-    spark: SparkSession, path: str, names: Sequence[str] | None = None
+    spark: SparkSession, path: str, names: Sequence[str] | None = None, per_line: bool = False
 ) -> DataFrame:
-    """Limit snapshots as `(name, entry)` rows."""
+    """Limit snapshots, one per file or one per line, as `(name, entry)` rows."""
     docs = (
-        spark.read.option("wholetext", "true").text(path)
+        spark.read.option("wholetext", str(not per_line).lower()).text(path)
         .select(F.from_json("value", f"map<string,{LIMIT_ENTRY}>", {"mode": "FAILFAST"}).alias("m"))
     )
     rows = docs.select(F.explode("m").alias("name", "entry"))

@@ -30,6 +30,12 @@ BAD_QUOTES = "bare or unterminated quote"
 BAD_COUNT = "wrong number of fields"
 
 
+def file_id_of(path: Column) -> Column:
+    """Log file of a path: ``…/<Id>.csv``, or any file in a ``file_id=<Id>`` folder."""
+    folder = F.regexp_extract(path, r"/file_id=([^/]+)/", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]+?)(?:\.csv)?$", 1))
+
+
 def _count(text: Column, char: str) -> Column:
     return F.length(text) - F.length(F.translate(text, char, ""))
 
@@ -105,7 +111,7 @@ def csv_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         lines.join(splits, ["path", "block"])
         .select(
             "path",
-            F.regexp_extract("path", r"([^/]+?)(?:\.csv)?$", 1).alias("file_id"),
+            file_id_of(F.col("path")).alias("file_id"),
             line_no.alias("line_no"),
             "raw",
             in_quote.alias("in_quote"),

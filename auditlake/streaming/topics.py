@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from auditlake.functions.ids import stream_event_id
 from auditlake.functions.payload import lineage_stream, normalize_payload, stream_event_type
 from auditlake.functions.times import stream_event_time
+from auditlake.operators.aggregates import batch_range
 from auditlake.schemas import STREAM
 from auditlake.session import path_exists
 from auditlake.sinks.archive import archive_units
@@ -72,7 +73,11 @@ def read_event_stream(
         .option("mode", "FAILFAST")
         .load(landing)
         .withColumn("arrival", F.col("_metadata.file_modification_time"))
-        .withColumn("landed_as", F.col("_metadata.file_path"))
+        # Row order inside an arrival order is added per batch.
+        .withColumn(
+            "arrival_order",
+            F.struct("arrival", "_metadata.file_path", "_metadata.file_block_start"),
+        )
     )
     if start == LATEST:
         now = spark.range(1).select(F.current_timestamp().alias("t")).head().t
@@ -93,6 +98,7 @@ def read_kafka_topic(
         .option("maxOffsetsPerTrigger", max_offsets)
         .load()
         .withColumn("arrival", F.col("timestamp"))
+        .withColumn("arrival_order", F.struct("arrival", "partition", "offset"))
     )
 
 
@@ -139,25 +145,19 @@ def event_records(events: DataFrame, topic: Topic, unit: Column | str) -> DataFr
         F.base64("replay_id").alias("replay_id"),
         normalize_payload(F.col("payload"), schema).alias("payload_json"),
         F.col("arrival").alias("partition_time"),
+        F.struct("arrival_order", F.monotonically_increasing_id()).alias("seq"),
         (F.lit(unit) if isinstance(unit, str) else unit).alias("object_name"),
         stream_event_type(F.col("schema_name")).alias("object_type"),
     )
 
 
 def batch_meta(records: DataFrame, topic: Topic) -> DataFrame:
-    """Per event type and arrival hour of a batch: its replay range as lineage.
-    Positions are fixed-width big-endian, so their base64-decoded order is theirs."""
-    position = F.unbase64("replay_id")
-    return (
-        records.groupBy(
-            "source", "org_id", "instance", "object_type",
-            F.date_trunc("hour", "partition_time").alias("partition_time"), "object_name",
-        )
-        .agg(F.min_by("replay_id", position).alias("first"), F.max_by("replay_id", position).alias("last"))
-        .select(
-            "source", "org_id", "instance", "object_type", "partition_time", "object_name",
-            lineage_stream(F.lit(topic.name), F.col("first"), F.col("last")).alias("lineage"),
-        )
+    """Per event type and arrival hour of a batch: its replay range as lineage."""
+    keyed = records.withColumn("partition_time", F.date_trunc("hour", "partition_time"))
+    unit = ["source", "org_id", "instance", "object_type", "partition_time", "object_name"]
+    return batch_range(keyed, *unit).select(
+        *unit,
+        lineage_stream(F.lit(topic.name), F.col("first_position"), F.col("last_position")).alias("lineage"),
     )
 
 
@@ -207,26 +207,19 @@ def archive_stream(
     return writer.trigger(processingTime=f"{flush_seconds} seconds").start()
 
 
-def run_topics(starts: Sequence[Callable[[], StreamingQuery]], timeout: float | None = None) -> None:
-    """Run one query per topic. The first that fails stops all, and its error is raised."""
+def run_topics(spark: SparkSession, starts: Sequence[Callable[[], StreamingQuery]]) -> None:
+    """Run one query per topic until all end. The first failure stops the others and
+    its error is raised."""
     running: list[StreamingQuery] = []
     try:
         for start in starts:
             running.append(start())
-        manager = running[0]._jsq.sparkSession().streams() if running else None
         while any(q.isActive for q in running):
-            for q in running:
-                if q.exception():
-                    raise q.exception()
-            manager.awaitAnyTermination(int((timeout or 5) * 1000))
-            manager.resetTerminated()
-        for q in running:
-            if q.exception():
-                raise q.exception()
+            spark.streams.awaitAnyTermination()  # raises the error of a failed query
+            spark.streams.resetTerminated()
     finally:
-        for q in running:
-            if q.isActive:
-                q.stop()
+        for query in running:
+            query.stop()
 
 
 def dedup_stream(df: DataFrame, time: str = "timestamp", delay: str = DEDUP_DELAY, key: str = "event_id") -> DataFrame:
