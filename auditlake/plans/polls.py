@@ -314,10 +314,10 @@ def poll_log_files(
     done = good_prefix(outcomes, "created", "file_id", "failed").withColumn(
         "partition_time", csv_partition_time(F.col("LogDate"), F.col("created"))
     )
-    _archive_files(collector, done, lines, status, spec)
-
-    # Data and manifests are stored; now remember the files, then move on.
-    state.mark(done.select(F.col("file_id").alias("key")), instance, LOG_FILES, "", now)
+    if not done.isEmpty():
+        _archive_files(collector, done, lines, status, spec)
+        # Data and manifests are stored; now remember the files, then move on.
+        state.mark(done.select(F.col("file_id").alias("key")), instance, LOG_FILES, "", now)
     _count_attempts(state, instance, outcomes, done)
     _advance_files(collector, listed, outcomes)
     return outcomes

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from auditlake.session import stage
+
 # The CSV grammar. A field is bare text or quoted text with
 # doubled quotes; only the last field of a line may leave its quotes open.
 BARE = r'[^",]*+'
@@ -262,6 +264,9 @@ def csv_rows(lines: DataFrame, status: DataFrame) -> DataFrame:
 
 
 def read_log_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows of all well-formed CSV files below ``paths``."""
-    lines = csv_lines(spark, paths)
-    return csv_rows(lines, file_status(lines))
+    """Rows of all well-formed CSV files below ``paths``.
+
+    The numbered lines feed several steps, so they are written out once.
+    """
+    lines = stage(csv_lines(spark, paths), "lines")
+    return csv_rows(lines, stage(file_status(lines), "status"))
