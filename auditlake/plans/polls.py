@@ -55,7 +55,7 @@ from auditlake.operators.filters import (
     in_window,
     is_permanent,
 )
-from auditlake.operators.joins import skip_archived_rows, skip_processed
+from auditlake.operators.joins import skip_processed
 from auditlake.operators.records import good_prefix
 from auditlake.schemas import EVENTLOG, LIMITS, RECORD_COLUMNS, SOQL
 from auditlake.session import stage
@@ -468,6 +468,14 @@ def rows_in_window(rows: DataFrame, spec: QuerySpec, since: datetime, until: dat
     return in_window(rows, parse_api_date(value), since, until)
 
 
+def new_versions(records: DataFrame, markers: DataFrame) -> DataFrame:
+    """Row versions that were not archived before, each once; rows without a key all."""
+    keyless = F.col("dedup_key") == ""
+    once = records.where(~keyless).dropDuplicates(["dedup_key"])
+    fresh = once.join(markers.select(F.col("key").alias("dedup_key")), "dedup_key", "left_anti")
+    return fresh.select(*records.columns).unionByName(records.where(keyless))
+
+
 def poll_query(
     spark: SparkSession,
     collector: Collector,
@@ -494,11 +502,9 @@ def poll_query(
         )
     rows = rows_in_window(pages.select(F.explode("records").alias("row_json")), spec, since, until)
     records = query_records(rows, spec, F.lit(instance), F.lit(fingerprint))
-    keyless = F.col("dedup_key") == ""
-    records = records.where(~keyless).dropDuplicates(["dedup_key"]).unionByName(records.where(keyless))
     unit = unique_unit(now)
     fresh = stage(
-        skip_archived_rows(records, state.markers(instance, QUERY, fingerprint, now)).withColumns(
+        new_versions(records, state.markers(instance, QUERY, fingerprint, now)).withColumns(
             {"partition_time": ts_lit(until), "object_name": F.lit(unit), "object_type": F.col("event_type")}
         ),
         "query-rows",

@@ -18,7 +18,7 @@ from auditlake.schemas import (
     MANIFEST_VERSION,
     PART_KEYS,
 )
-from auditlake.sources.archive import object_facts, raw_root, scan_objects
+from auditlake.sources.archive import describe_stored, raw_root
 
 DEFAULT_RECORDS_PER_OBJECT = 10_000
 
@@ -150,7 +150,7 @@ def write_manifests(
     meant to be stored. ``meta`` has one row per unit and hour; ``unit`` narrows the
     scan where a write has a single one.
     """
-    facts = object_facts(scan_objects(spark, root, touched_hours(root, meta), unit))
+    facts = describe_stored(spark, root, touched_hours(root, meta), unit)
     put_manifests(describe_objects(facts, meta), root, append)
 
 

@@ -206,55 +206,71 @@ def _undecodable(line: Column) -> Column:
     )
 
 
+def _inflated(
+    spark: SparkSession, root: str, paths: Sequence[str] | None, unit: str | None
+) -> DataFrame:
+    """Lines of the objects, each tagged with size, checksum and key of its object."""
+    files = _object_files(spark, root, paths, unit).select(
+        # Size and checksum travel with the key: Python need not see them.
+        F.concat_ws("|", F.col("length").cast("string"), F.sha2("content", 256), "object_key").alias(
+            "object_key"
+        ),
+        "content",
+    )
+    return (
+        files.mapInArrow(_split_objects, OBJECT_LINES)
+        .withColumn("text", F.col("line").cast("string"))
+        .withColumn("is_line", F.col("line").isNotNull() & (F.trim("text") != ""))
+        .withColumn("header", F.when(F.col("is_line"), header_of(F.col("text"))))
+        .withColumnRenamed("object_key", "tag")
+    )
+
+
+def _measures() -> list[Column]:
+    time = F.col("header.timestamp")
+    known = F.when(time != ZERO_TIME_TEXT, envelope_time(time))
+    return [
+        F.count_if("is_line").alias("records"),
+        F.min(known).alias("first"),
+        F.max(known).alias("last"),
+        F.max("uncompressed").alias("uncompressed"),
+        F.max("error").alias("error"),
+    ]
+
+
+def _untagged(counted: DataFrame) -> DataFrame:
+    tag = F.split("tag", r"\|", 3)
+    return counted.select(
+        tag[2].alias("object_key"), tag[0].cast("bigint").alias("compressed"), tag[1].alias("sha256"),
+        *[c for c in counted.columns if c != "tag"],
+    )
+
+
+def describe_stored(
+    spark: SparkSession, root: str, paths: Sequence[str] | None = None, unit: str | None = None
+) -> DataFrame:
+    """Facts for the manifests of objects just written. Payloads are not parsed."""
+    counted = _inflated(spark, root, paths, unit).groupBy("tag").agg(*_measures())
+    return _untagged(counted).withColumnsRenamed({"first": "first_ts", "last": "last_ts"})
+
+
 def scan_objects(
     spark: SparkSession, root: str, paths: Sequence[str] | None = None, unit: str | None = None
 ) -> DataFrame:
-    """What each object holds, per object and per record source.
+    """What each object holds, per object and source of its records.
 
     One pass over the stored bytes: Python only inflates an object into lines, the
     lines are parsed and counted by Spark. All lines of an object are counted in the
-    task that inflated it, so only a few counters per object are shuffled. Sizes and
-    checksum come from the file listing and `sha2`; a damaged object yields an error
-    row instead of failing the scan. Rows: `object_key, source, records, first, last,
-    bad_lines, uncompressed, error`, plus `compressed` and `sha256` per object.
+    task that inflated it, so only a few counters per object are shuffled. A damaged
+    object yields an error instead of failing the scan.
     """
-    files = _object_files(spark, root, paths, unit).withColumn(
-        "object_key",
-        # Size and checksum travel with the key: Python need not see them.
-        F.concat_ws("|", F.col("length").cast("string"), F.sha2("content", 256), "object_key"),
-    )
-    lines = files.select("object_key", "content").mapInArrow(_split_objects, OBJECT_LINES)
-    text = F.col("line").cast("string")
-    is_line = F.col("line").isNotNull() & (F.trim(text) != "")
-    header = header_of(text)
-    ts = F.when(is_line & (header["timestamp"] != ZERO_TIME_TEXT), envelope_time(header["timestamp"]))
-    counted = (
-        lines.select(
-            F.col("object_key").alias("tag"),
-            F.when(is_line, F.coalesce(header["source"], F.lit(""))).alias("line_source"),
-            is_line.alias("is_line"),
-            ts.alias("ts"),
-            (is_line & F.coalesce(_undecodable(text), F.lit(True))).alias("bad"),
-            "uncompressed",
-            "error",
-        )
-        .groupBy("tag", "line_source")
-        .agg(
-            F.count_if("is_line").alias("records"),
-            F.min("ts").alias("first"),
-            F.max("ts").alias("last"),
-            F.count_if("bad").alias("bad_lines"),
-            F.max("uncompressed").alias("uncompressed"),
-            F.max("error").alias("error"),
-        )
-    )
-    tag = F.split("tag", r"\|", 3)
-    return counted.select(
-        tag[2].alias("object_key"),
-        tag[0].cast("bigint").alias("compressed"),
-        tag[1].alias("sha256"),
-        "line_source", "records", "first", "last", "bad_lines", "uncompressed", "error",
+    lines = _inflated(spark, root, paths, unit)
+    source = F.when(F.col("is_line"), F.coalesce("header.source", F.lit("")))
+    bad = F.col("is_line") & F.coalesce(_undecodable(F.col("text")), F.lit(True))
+    counted = lines.groupBy("tag", source.alias("line_source")).agg(
+        *_measures(), F.count_if(bad).alias("bad_lines")
     )
+    return _untagged(counted)
 
 
 def object_facts(scan: DataFrame) -> DataFrame:
