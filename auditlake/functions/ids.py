@@ -20,9 +20,15 @@ def stream_event_id(event_uuid: Column, event_identifier: Column) -> Column:
 
 
 def json_string_field(payload: Column, name: str) -> Column:
-    """A top-level member of a JSON text, only if it is a JSON string."""
-    member = F.variant_get(F.try_parse_json(payload), f"$.{name}", "variant")
-    return F.when(F.schema_of_variant(member) == "STRING", member.cast("string"))
+    """A top-level member of a JSON text, only if it is a JSON string.
+
+    Text that could not be a number, a literal or a nested value must have been a
+    string; only for the rest is the type looked up.
+    """
+    text = F.get_json_object(payload, f"$.{name}")
+    doubtful = text.rlike(r"^(-?[0-9]|true$|false$|[{\[])")
+    member = F.from_json(payload, f"`{name}` variant")[name]
+    return F.when(~doubtful | (F.schema_of_variant(member) == "STRING"), text)
 
 
 def csv_row_id(file_id: Column, line: Column) -> Column:

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 # Characters kept in keys, and the two prefixes.
 UNSAFE_KEY_CHARS = r"[^A-Za-z0-9_.\-]"
+UNICODE_SPACE = (
+    "\t\n\v\f\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 RAW = "raw"
 MANIFESTS = "manifests"
 
@@ -14,7 +18,7 @@ MANIFESTS = "manifests"
 def sanitize_key(value: Column, fallback: str = "unknown") -> Column:
     """A key-safe form of ``value``. Where characters were replaced, six hex digits
     of a hash keep different values in different partitions."""
-    trimmed = F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)^\s+|\s+$", "")
+    trimmed = F.btrim(F.coalesce(value, F.lit("")), F.lit(UNICODE_SPACE))
     clean = F.regexp_replace(trimmed, UNSAFE_KEY_CHARS, "_")
     suffix = F.substring(F.sha2(trimmed, 256), 1, 6)
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from auditlake.functions.ids import json_string_field
@@ -39,7 +40,9 @@ def record_refs(lines: DataFrame) -> DataFrame:
     Streams are grouped by topic, log files pooled, query rows grouped by event type;
     limits carry no identifier. A missing or non-text identifier is the blank one.
     """
-    ref = lambda name: F.coalesce(json_string_field(F.col("payload"), name), F.lit(""))
+    def ref(name: str) -> Column:
+        return F.coalesce(json_string_field(F.col("payload"), name), F.lit(""))
+
     source = F.col("source")
     return lines.where(source.isin(STREAM, EVENTLOG, SOQL)).select(
         source,
@@ -80,8 +83,6 @@ def gap_report(expected: DataFrame, seen: DataFrame) -> DataFrame:
 
 def missing_examples(missing: DataFrame, order: str = "ord", n: int = 10) -> DataFrame:
     """The first ``n`` missing ids of each group in list order, then sorted."""
-    from pyspark.sql import Window as W
-
     # Spark keeps only n rows per group and task before it shuffles.
     ranked = missing.withColumn(
         "rank", F.row_number().over(W.partitionBy("source", "grp").orderBy(order, "id"))

@@ -441,22 +441,24 @@ class QuerySpec:
 
 
 def query_records(rows: DataFrame, spec: QuerySpec, instance: Column, fingerprint: Column) -> DataFrame:
-    """Archive records of query rows (`row_json`) with the marker key of each version."""
+    """Archive records of query rows (`row_json`, `row_ref`) with the marker key of each
+    version. `row_ref` is kept only where a row has no key, to tell such rows apart."""
     row_json = F.col("row_json")
-    members = payload_map(row_json)
-    ts = F.try_element_at(F.col("m"), F.lit(spec.timestamp))
-    end = F.try_element_at(F.col("m"), F.lit(spec.end_timestamp)) if spec.end_timestamp else None
+    ts = F.try_element_at("m", F.lit(spec.timestamp))
+    end = F.try_element_at("m", F.lit(spec.end_timestamp)) if spec.end_timestamp else None
     own = json_string_field(row_json, "Id")
     row_id = first_non_empty(own, composite_id_of(F.col("m"), spec.custom_id))
+    key = dedup_key(instance, fingerprint, F.col("row_id"), ts, end)
     return (
-        rows.withColumn("m", members)
+        rows.withColumn("m", payload_map(row_json))
         .withColumn("row_id", row_id)
         .select(
             row_version_id(F.col("row_id"), ts, end).alias("event_id"),
             query_event_type(row_json, F.lit(spec.from_)).alias("event_type"),
             query_event_time(ts).alias("timestamp"),
             drop_metadata(row_json).alias("payload_json"),
-            dedup_key(instance, fingerprint, F.col("row_id"), ts, end).alias("dedup_key"),
+            key.alias("dedup_key"),
+            F.when(key == "", F.col("row_ref")).otherwise(F.lit("")).alias("row_ref"),
         )
     )
 
@@ -464,16 +466,19 @@ def query_records(rows: DataFrame, spec: QuerySpec, instance: Column, fingerprin
 def rows_in_window(rows: DataFrame, spec: QuerySpec, since: datetime, until: datetime) -> DataFrame:
     """Window on the time field, or on the end field alone where one is given."""
     name = spec.end_timestamp or spec.timestamp
-    value = F.try_element_at(payload_map(F.col("row_json")), F.lit(name))
+    value = F.get_json_object("row_json", f"$.{name}")
     return in_window(rows, parse_api_date(value), since, until)
 
 
 def new_versions(records: DataFrame, markers: DataFrame) -> DataFrame:
-    """Row versions that were not archived before, each once; rows without a key all."""
-    keyless = F.col("dedup_key") == ""
-    once = records.where(~keyless).dropDuplicates(["dedup_key"])
-    fresh = once.join(markers.select(F.col("key").alias("dedup_key")), "dedup_key", "left_anti")
-    return fresh.select(*records.columns).unionByName(records.where(keyless))
+    """Row versions that were not archived before, each once; rows without a key all.
+
+    Rows without a key are told apart by where they came from, which also spreads
+    them over the partitions. Both steps share one shuffle of the rows.
+    """
+    known = markers.select(F.col("key").alias("dedup_key"), F.lit("").alias("row_ref"))
+    keys = ["dedup_key", "row_ref"]
+    return records.dropDuplicates(keys).join(known, keys, "left_anti")
 
 
 def poll_query(
@@ -500,7 +505,12 @@ def poll_query(
             f"query on {spec.from_} returned an incomplete result set "
             f"({broken[0].rows} of {broken[0].total_size} records)"
         )
-    rows = rows_in_window(pages.select(F.explode("records").alias("row_json")), spec, since, until)
+    # The scan reads its files in a fixed order, so a repeated task numbers alike.
+    numbered = pages.select(F.monotonically_increasing_id().alias("page_no"), "records")
+    rows = numbered.select("page_no", F.posexplode("records").alias("pos", "row_json")).select(
+        "row_json", F.concat_ws("#", "page_no", "pos").alias("row_ref")
+    )
+    rows = rows_in_window(rows, spec, since, until)
     records = query_records(rows, spec, F.lit(instance), F.lit(fingerprint))
     unit = unique_unit(now)
     fresh = stage(
