@@ -65,7 +65,7 @@ def read_limits(
 ) -> DataFrame:
     """Limit snapshots, one per file or one per line, as `(name, entry)` rows."""
     docs = (
-        spark.read.option("wholetext", str(not per_line).lower()).text(path)
+        spark.read.text(path, wholetext=not per_line)
         .select(F.from_json("value", f"map<string,{LIMIT_ENTRY}>", {"mode": "FAILFAST"}).alias("m"))
     )
     rows = docs.select(F.explode("m").alias("name", "entry"))

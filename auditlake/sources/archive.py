@@ -83,9 +83,8 @@ def read_archive(
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """One row per manifest file; `manifest` is NULL where the file cannot be parsed."""
     files = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .text(f"{root.rstrip('/')}/{MANIFESTS}")
+        spark.read.option("recursiveFileLookup", "true")
+        .text(f"{root.rstrip('/')}/{MANIFESTS}", wholetext=True)
         .select(F.col("_metadata.file_path").alias("manifest_path"), "value")
     )
     parsed = F.from_json(
