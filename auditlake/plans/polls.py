@@ -378,7 +378,6 @@ def _archive_files(
 
 def _count_attempts(state: State, instance: str, outcomes: DataFrame, done: DataFrame) -> None:
     """Count the failure that stopped this poll; forget the files now set aside."""
-    version = state.next_attempt_version()
     stop = outcomes.where(F.col("failed")).orderBy("created", "file_id").limit(1)
     for kind in (MALFORMED, UNAVAILABLE):
         failed = stop.where(F.col("counter") == kind).select(
@@ -387,7 +386,9 @@ def _count_attempts(state: State, instance: str, outcomes: DataFrame, done: Data
         cleared = done.where((F.col("counter") == kind) & (F.col("action") != "archive")).select(
             F.col("file_id").alias("key"), F.lit(0).alias("n")
         )
-        state.set_attempts(failed.unionByName(cleared), instance, kind, version)
+        changes = failed.unionByName(cleared)
+        if not changes.isEmpty():
+            state.set_attempts(changes, instance, kind)
 
 
 def _advance_files(collector: Collector, listed: DataFrame, outcomes: DataFrame) -> None:
@@ -528,7 +529,7 @@ def poll_query(
     )
     archive_units(
         full, collector.root, meta=collector.as_meta(meta, SOQL), unit=unit,
-        records_per_object=collector.records_per_object, append=True,
+        records_per_object=collector.records_per_object,
     )
     state.mark(
         fresh.where(F.col("dedup_key") != "").select(F.col("dedup_key").alias("key")),
@@ -568,7 +569,7 @@ def poll_limits(
         return
     # Materialised by its literal unit name: one name for data and manifests.
     records = collector.as_records(limit_records(limits, now), LIMITS)
-    archive_units(records, collector.root, append=True)
+    archive_units(records, collector.root)
 
 
 # --- all together ------------------------------------------------------------------------

@@ -154,7 +154,7 @@ def lineage_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     left without manifests."""
     root = workspace(spark, "lineage")
     records = event_records(events(spark, sf_dir))
-    write_archive(records.where(F.col("event_type") == "error"), root, append=True)
+    write_archive(records.where(F.col("event_type") == "error"), root)
     described = records.where(F.col("event_type") != "error")
     topic = F.concat(F.lit("/event/"), "object_type")
     meta = object_meta(described, lineage_stream(topic, F.lit(""), F.lit("")))
@@ -171,9 +171,9 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet copy by event date of an archive that holds some records twice."""
     root, out = workspace(spark, "compact"), workspace(spark, "curated")
     records = event_records(events(spark, sf_dir))
-    write_archive(records, root, append=True)
+    write_archive(records, root)
     repeated = records.where(F.col("event_type") == "purchase").withColumn("object_name", F.lit("batch-2"))
-    write_archive(repeated, root, append=True)
+    write_archive(repeated, root)
     compact_to_parquet(spark, root, out)
     return (
         spark.read.parquet(out)

@@ -81,13 +81,13 @@ def write_archive(
     records: DataFrame,
     root: str,
     records_per_object: int = DEFAULT_RECORDS_PER_OBJECT,
-    append: bool = False,
 ) -> None:
     """Write normalised records as gzip NDJSON objects below the Hive layout.
 
     A unit (`object_name`) owns its folder, so writing it again replaces its objects
-    and nothing else; with ``append`` nothing is replaced and the caller gives a
-    unique name. REBALANCE brings the rows of one folder together and lets Spark
+    and nothing else; sources that only append give every write a unique name. Each
+    write is staged on its own, so several may run into one archive at a time.
+    REBALANCE brings the rows of one folder together and lets Spark
     split a folder that holds far more than the others, so one busy event type
     becomes several objects written side by side.
     """
@@ -100,14 +100,12 @@ def write_archive(
         .option("compression", "gzip")
         .option("maxRecordsPerFile", records_per_object)
     )
-    _save(writer, raw_root(root), append)
+    _replace_folders(writer, raw_root(root))
 
 
-def _save(writer, target: str, append: bool) -> None:
-    if append:
-        writer.mode("append").text(target)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(target)
+def _replace_folders(writer, target: str) -> None:
+    """Replace exactly the folders that receive rows."""
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(target)
 
 
 def key_part(object_key: Column, name: str) -> Column:
@@ -142,7 +140,6 @@ def write_manifests(
     root: str,
     meta: DataFrame,
     unit: str | None = None,
-    append: bool = False,
 ) -> None:
     """One manifest file per object of a finished write, below its own prefix.
 
@@ -151,10 +148,10 @@ def write_manifests(
     scan where a write has a single one.
     """
     facts = describe_stored(spark, root, touched_hours(root, meta), unit)
-    put_manifests(describe_objects(facts, meta), root, append)
+    put_manifests(describe_objects(facts, meta), root)
 
 
-def put_manifests(manifests: DataFrame, root: str, append: bool = False) -> None:
+def put_manifests(manifests: DataFrame, root: str) -> None:
     keyed = manifests.select(
         F.to_json(F.struct(*manifests.columns)).alias("value"),
         *[key_part(F.col("objectKey"), k).alias(k) for k in PART_KEYS],
@@ -163,7 +160,7 @@ def put_manifests(manifests: DataFrame, root: str, append: bool = False) -> None
     slots = manifests.sparkSession.sparkContext.defaultParallelism
     spread = keyed.repartition(slots, *PART_KEYS)
     writer = spread.write.partitionBy(*PART_KEYS).option("maxRecordsPerFile", 1)
-    _save(writer, f"{root.rstrip('/')}/{MANIFESTS}", append)
+    _replace_folders(writer, f"{root.rstrip('/')}/{MANIFESTS}")
 
 
 def archive_units(
@@ -172,9 +169,8 @@ def archive_units(
     meta: DataFrame | None = None,
     unit: str | None = None,
     records_per_object: int = DEFAULT_RECORDS_PER_OBJECT,
-    append: bool = False,
 ) -> None:
     """Objects, then manifests. Callers move watermarks only after this returns."""
     meta = object_meta(records) if meta is None else meta
-    write_archive(records, root, records_per_object, append)
-    write_manifests(records.sparkSession, root, meta, unit, append)
+    write_archive(records, root, records_per_object)
+    write_manifests(records.sparkSession, root, meta, unit)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,62 +28,50 @@ UNAVAILABLE = "unavailable"
 
 class State:
     """State tables below one folder. A read error fails the caller; only a table
-    that was never written counts as empty."""
+    that was never written counts as empty.
+
+    Every key has a folder of its own with a single writer, so polls that run side
+    by side never commit into the same folder.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _read(self, table: str, schema: str) -> DataFrame:
-        path = f"{self.root}/{table}"
+    def path(self, table: str, instance: str, kind: str, scope: str = "") -> str:
+        names = [quote(n, safe="") or "-" for n in (instance, kind, scope)]
+        return "/".join([self.root, table, *names])
+
+    def _read(self, path: str, schema: str) -> DataFrame:
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def _append(self, table: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(f"{self.root}/{table}")
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
     # --- watermarks: never expire ---------------------------------------------------
 
-    def _watermark_log(self) -> DataFrame:
-        return self._read("watermarks", WATERMARKS)
-
     def watermarks(self) -> DataFrame:
         """Current value per key; cleared keys are left out."""
-        latest = self._watermark_log().groupBy("instance", "kind", "scope").agg(
-            F.max_by("value", "version").alias("value"), F.max("version").alias("version")
-        )
-        return latest.where(F.col("value").isNotNull())
+        return latest_watermarks(self._read(f"{self.root}/watermarks", WATERMARKS))
 
     def watermark(self, instance: str, kind: str, scope: str = "") -> datetime | None:
-        rows = (
-            self.watermarks()
-            .where((F.col("instance") == instance) & (F.col("kind") == kind) & (F.col("scope") == scope))
-            .select(watermark_time(F.col("value")).alias("t"))
-            .head(1)
-        )
+        log = self._read(self.path("watermarks", instance, kind, scope), WATERMARKS)
+        rows = latest_watermarks(log).select(watermark_time(F.col("value")).alias("t")).head(1)
         return rows[0].t if rows else None
 
-    def set_watermarks(self, changes: DataFrame) -> None:
-        """``changes``: instance, kind, scope, value (text, NULL clears)."""
-        keys = ["instance", "kind", "scope"]
-        versions = self._watermark_log().groupBy(*keys).agg(F.max("version").alias("v"))
-        self._append(
-            "watermarks",
-            changes.join(versions, keys, "left").select(
-                *keys, F.col("value").cast("string").alias("value"),
-                (F.coalesce("v", F.lit(0)) + 1).cast("bigint").alias("version"),
-            ),
-        )
-
-    def set_watermark(self, instance: str, kind: str, scope: str, value: datetime) -> None:
+    def set_watermark(self, instance: str, kind: str, scope: str, value: datetime | None) -> None:
+        """Append the next version of a key; None clears it."""
+        path = self.path("watermarks", instance, kind, scope)
+        last = self._read(path, WATERMARKS).agg(F.max("version").alias("v")).head().v or 0
+        millis = F.lit(None) if value is None else F.unix_millis(ts_lit(value))
         row = self.spark.range(1).select(
             F.lit(instance).alias("instance"), F.lit(kind).alias("kind"), F.lit(scope).alias("scope"),
-            F.unix_millis(ts_lit(value)).alias("value"),
+            millis.cast("string").alias("value"), F.lit(last + 1).cast("bigint").alias("version"),
         )
-        self.set_watermarks(row)
+        row.coalesce(1).write.mode("append").parquet(path)
 
-    def reset(self, known: Sequence[str], keys: Sequence[str] | str, confirm: bool, kind: str = QUERY) -> DataFrame:
+    def reset(
+        self, instance: str, known: Sequence[str], keys: Sequence[str] | str, confirm: bool, kind: str = QUERY
+    ) -> DataFrame:
         """Clear the watermarks of named scopes, or of ``all`` known ones.
 
         Unknown names are errors, so a typing mistake cannot pass for a reset, and
@@ -96,12 +85,16 @@ class State:
             raise ValueError("no keys given to reset")
         if not confirm:
             raise PermissionError(f"refusing to reset {names} without confirmation: this can leave a gap")
-        old = self.watermarks().where((F.col("kind") == kind) & F.col("scope").isin(names)).select(
-            "instance", "kind", "scope", F.col("value").alias("previous")
+        old = self.watermarks().where(
+            (F.col("instance") == instance) & (F.col("kind") == kind) & F.col("scope").isin(names)
+        )
+        previous = {r.scope: r.value for r in old.collect()}  # one row per named key
+        for name in names:
+            self.set_watermark(instance, kind, name, None)
+        return self.spark.createDataFrame(
+            [(instance, kind, n, previous.get(n)) for n in names],
+            "instance string, kind string, scope string, previous string",
         )
-        prior = self.spark.createDataFrame(old.collect(), old.schema)  # one row per named key
-        self.set_watermarks(prior.select("instance", "kind", "scope", F.lit(None).cast("string").alias("value")))
-        return prior
 
     # --- markers: expire --------------------------------------------------------------
 
@@ -109,15 +102,13 @@ class State:
         self, instance: str, kind: str, scope: str, now: datetime, ttl: timedelta = MARKER_TTL
     ) -> DataFrame:
         """Live markers of one namespace. The day folder prunes expired ones."""
-        path = f"{self.root}/markers"
+        path = self.path("markers", instance, kind, scope)
         schema = f"{MARKERS}, marked_day date"
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        oldest = ts_lit(now) - F.lit(ttl)
-        rows = self.spark.read.schema(schema).parquet(path)
-        return live_markers(
-            rows.where(F.col("marked_day") >= F.to_date(oldest)), now, ttl
-        ).where((F.col("instance") == instance) & (F.col("kind") == kind) & (F.col("scope") == scope))
+        first_day = F.to_date(ts_lit(now) - F.lit(ttl))
+        rows = self.spark.read.schema(schema).parquet(path).where(F.col("marked_day") >= first_day)
+        return live_markers(rows, now, ttl)
 
     def mark(self, keys: DataFrame, instance: str, kind: str, scope: str, now: datetime) -> None:
         """``keys``: one column `key`."""
@@ -125,33 +116,37 @@ class State:
             F.lit(instance).alias("instance"), F.lit(kind).alias("kind"), F.lit(scope).alias("scope"),
             "key", ts_lit(now).alias("marked_at"), F.to_date(ts_lit(now)).alias("marked_day"),
         )
-        rows.write.mode("append").partitionBy("marked_day").parquet(f"{self.root}/markers")
+        rows.write.mode("append").partitionBy("marked_day").parquet(
+            self.path("markers", instance, kind, scope)
+        )
 
     # --- attempts -----------------------------------------------------------------------
 
     def attempts(self, instance: str, kind: str) -> DataFrame:
         """Current failure count per key."""
+        log = self._read(self.path("attempts", instance, kind), ATTEMPTS)
         return (
-            self._read("attempts", ATTEMPTS)
-            .where((F.col("instance") == instance) & (F.col("kind") == kind))
-            .groupBy("key")
+            log.groupBy("key")
             .agg(F.max_by("n", "version").alias("n"), F.max("version").alias("version"))
             .where(F.col("n") > 0)
         )
 
-    def set_attempts(self, counts: DataFrame, instance: str, kind: str, version: int) -> None:
+    def set_attempts(self, counts: DataFrame, instance: str, kind: str) -> None:
         """``counts``: key, n. Zero clears a key."""
-        self._append(
-            "attempts",
-            counts.select(
-                F.lit(instance).alias("instance"), F.lit(kind).alias("kind"), "key",
-                F.col("n").cast("int").alias("n"), F.lit(version).cast("bigint").alias("version"),
-            ),
+        path = self.path("attempts", instance, kind)
+        last = self._read(path, ATTEMPTS).agg(F.max("version").alias("v")).head().v or 0
+        rows = counts.select(
+            F.lit(instance).alias("instance"), F.lit(kind).alias("kind"), "key",
+            F.col("n").cast("int").alias("n"), F.lit(last + 1).cast("bigint").alias("version"),
         )
+        rows.write.mode("append").parquet(path)
+
 
-    def next_attempt_version(self) -> int:
-        row = self._read("attempts", ATTEMPTS).agg(F.max("version").alias("v")).head()
-        return (row.v or 0) + 1
+def latest_watermarks(log: DataFrame) -> DataFrame:
+    latest = log.groupBy("instance", "kind", "scope").agg(
+        F.max_by("value", "version").alias("value"), F.max("version").alias("version")
+    )
+    return latest.where(F.col("value").isNotNull())
 
 
 def live_markers(markers: DataFrame, now: datetime, ttl: timedelta = MARKER_TTL) -> DataFrame:

@@ -211,6 +211,7 @@ def run_topics(spark: SparkSession, starts: Sequence[Callable[[], StreamingQuery
     """Run one query per topic until all end. The first failure stops the others and
     its error is raised."""
     running: list[StreamingQuery] = []
+    spark.streams.resetTerminated()  # failures of earlier runs are not this one's
     try:
         for start in starts:
             running.append(start())

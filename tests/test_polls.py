@@ -343,7 +343,7 @@ def test_markers_expire_and_watermarks_do_not(spark, tmp_path):
 
 def test_unreadable_watermark_fails_the_poll(spark, collector, tmp_path):
     bad = spark.createDataFrame([("main", LOG_FILES, "", "12x", 1)], "instance string, kind string, scope string, value string, version bigint")
-    bad.write.parquet(f"{collector.state.root}/watermarks")
+    bad.write.parquet(collector.state.path("watermarks", "main", LOG_FILES))
     with pytest.raises(Exception, match="invalid watermark"):
         collector.window(LOG_FILES, "", NOW)
 
@@ -353,12 +353,12 @@ def test_reset_needs_known_keys_and_confirmation(spark, tmp_path):
     for scope in ("a", "b"):
         state.set_watermark("main", QUERY, scope, NOW)
     with pytest.raises(ValueError, match="unknown keys"):
-        state.reset(["a", "b"], ["a", "x"], confirm=True)
+        state.reset("main", ["a", "b"], ["a", "x"], confirm=True)
     with pytest.raises(ValueError, match="no keys"):
-        state.reset(["a", "b"], [" "], confirm=True)
+        state.reset("main", ["a", "b"], [" "], confirm=True)
     with pytest.raises(PermissionError):
-        state.reset(["a", "b"], "all", confirm=False)
-    prior = state.reset(["a", "b"], ["a"], confirm=True)
+        state.reset("main", ["a", "b"], "all", confirm=False)
+    prior = state.reset("main", ["a", "b"], ["a"], confirm=True)
     assert [r.previous for r in prior.collect()] == [str(int((NOW - datetime(1970, 1, 1)) / timedelta(milliseconds=1)))]
     assert state.watermark("main", QUERY, "a") is None
     assert state.watermark("main", QUERY, "b") is not None
