@@ -141,6 +141,15 @@ def top_values(df: DataFrame, key: Column, name: str = "value", condition: Colum
     )
 
 
+def batch_metrics() -> list[Column]:
+    """Measures taken while a batch flows by, for `DataFrame.observe`."""
+    return [
+        F.count(F.lit(1)).alias("records"),
+        F.max("timestamp").alias("newest_event"),
+        F.count_if(F.coalesce("event_id", F.lit("")) == "").alias("without_id"),
+    ]
+
+
 def throughput_table(manifests: DataFrame) -> DataFrame:
     """Records and objects by source and name: topic of a stream, queried object of a
     query, event type otherwise."""

@@ -7,6 +7,7 @@ window again and nothing is skipped.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -55,7 +56,6 @@ from auditlake.operators.filters import (
     in_window,
     is_permanent,
 )
-from auditlake.operators.joins import skip_processed
 from auditlake.operators.records import good_prefix
 from auditlake.schemas import EVENTLOG, LIMITS, RECORD_COLUMNS, SOQL
 from auditlake.session import stage
@@ -257,14 +257,17 @@ def file_outcomes(
     )
 
 
-def pending_catalog(
+def listed_files(
     catalog: DataFrame, markers: DataFrame, since: datetime, until: datetime, spec: LogFileSpec
-) -> tuple[DataFrame, DataFrame]:
-    """Listed files of the window, and those of them not archived yet."""
+) -> DataFrame:
+    """Listed files of the window; `known` is set for those archived before."""
     listed = catalog.withColumn("created", require_api_date(F.col("CreatedDate"), "CreatedDate"))
     listed = in_window(listed, "created", since, until)
     listed = event_types_in(hourly_only(listed, spec.all_intervals), spec.event_types)
-    return listed, skip_processed(listed, markers)
+    marked = markers.select(F.col("key").alias("Id"), F.lit(True).alias("marked")).distinct()
+    return listed.join(marked, "Id", "left").select(
+        *listed.columns, F.coalesce("marked", F.lit(False)).alias("known")
+    )
 
 
 def poll_log_files(
@@ -288,24 +291,22 @@ def poll_log_files(
     since, until = collector.window(LOG_FILES, "", now)
     if fetches is None:
         fetches = spark.createDataFrame([], "file_id string, status int, body string")
-    listed, pending = pending_catalog(
-        read_log_catalog(spark, pages_dir, per_line), state.markers(instance, LOG_FILES, "", now), since, until, spec
-    )
-    listed, pending = stage(listed, "listed"), stage(pending, "pending")
+    markers = state.markers(instance, LOG_FILES, "", now)
+    catalog = read_log_catalog(spark, pages_dir, per_line)
+    listed = stage(listed_files(catalog, markers, since, until, spec), "listed")
+    pending = listed.where(~F.col("known")).drop("known")
 
-    downloads = stage(
-        landed_files(spark, files_dir).join(
-            pending.select(F.col("Id").alias("file_id")), "file_id", "left_semi"
-        ),
-        "downloads",
+    downloads = landed_files(spark, files_dir).join(
+        pending.select(F.col("Id").alias("file_id")), "file_id", "left_semi"
     )
     known = (state.attempts(instance, MALFORMED), state.attempts(instance, UNAVAILABLE))
     nothing_bad = spark.createDataFrame([], "file_id string, reason string")
+    first_look = file_outcomes(pending, downloads, fetches, nothing_bad, *known, spec)
+    if pending.isEmpty():
+        _advance_files(collector, listed, first_look)
+        return first_look
     # A file that is not here blocks the ones after it: those need not be parsed.
-    reachable = good_prefix(
-        file_outcomes(pending, downloads, fetches, nothing_bad, *known, spec),
-        "created", "file_id", "failed",
-    )
+    reachable = good_prefix(first_look, "created", "file_id", "failed")
     paths = [r.path for r in downloads.join(reachable, "file_id", "left_semi").select("path").toLocalIterator()]
     lines = stage(csv_lines(spark, paths), "lines") if paths else None
     status = stage(file_status(lines), "status") if paths else None
@@ -314,8 +315,9 @@ def poll_log_files(
     done = good_prefix(outcomes, "created", "file_id", "failed").withColumn(
         "partition_time", csv_partition_time(F.col("LogDate"), F.col("created"))
     )
-    if not done.isEmpty():
-        _archive_files(collector, done, lines, status, spec)
+    actions = {r.action for r in done.select("action").distinct().collect()}  # at most three
+    if actions:
+        _archive_files(collector, done, actions, lines, status, spec)
         # Data and manifests are stored; now remember the files, then move on.
         state.mark(done.select(F.col("file_id").alias("key")), instance, LOG_FILES, "", now)
     _count_attempts(state, instance, outcomes, done)
@@ -334,20 +336,24 @@ def landed_files(spark: SparkSession, files_dir: str) -> DataFrame:
 def _archive_files(
     collector: Collector,
     done: DataFrame,
+    actions: set[str],
     lines: DataFrame | None,
     status: DataFrame | None,
     spec: LogFileSpec,
 ) -> None:
-    good, bad, gone = (done.where(F.col("action") == a) for a in ("archive", "quarantine", "tombstone"))
-    records = tombstone_records(gone)
-    if lines is not None:
-        parsed = log_file_records(
-            csv_rows(lines, status), good.withColumnRenamed("file_id", "Id"), spec.field_mapping
-        )
-        raw = quarantine_records(
-            read_raw_lines(lines), bad.select("file_id", "EventType", "partition_time", "reason")
-        )
-        records = parsed.unionByName(raw).unionByName(records)
+    """Objects and manifests of the files dealt with; only the kinds that occur."""
+    chosen = {a: done.where(F.col("action") == a) for a in actions}
+    parts = []
+    if "archive" in chosen:
+        # All files good but empty leave nothing to parse and nothing to store.
+        files = chosen["archive"].withColumnRenamed("file_id", "Id")
+        parts.append(log_file_records(csv_rows(lines, status), files, spec.field_mapping))
+    if "quarantine" in chosen:
+        bad = chosen["quarantine"].select("file_id", "EventType", "partition_time", "reason")
+        parts.append(quarantine_records(read_raw_lines(lines), bad))
+    if "tombstone" in chosen:
+        parts.append(tombstone_records(chosen["tombstone"]))
+    records = functools.reduce(DataFrame.unionByName, parts)
     suffix = F.when(F.col("action") == "quarantine", F.lit("-quarantine")).when(
         F.col("action") == "tombstone", F.lit("-unavailable")
     ).otherwise(F.lit(""))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from auditlake.functions.times import rfc3339
 from auditlake.operators import verify as checks
 from auditlake.operators.aggregates import (
+    batch_metrics,
     batch_range,
     commit_position,
     duplicate_object_keys,
@@ -27,6 +28,7 @@ from auditlake.operators.joins import (
 )
 from auditlake.operators.records import dedup, duplicate_report as duplicates_of, union_sources
 from auditlake.queries.registry import event_payload, events, orders, query, table, text6
+from auditlake.session import workspace
 
 FIRST_LAST = "strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts"
 
@@ -313,6 +315,24 @@ def batch_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_sources(types, commit)
 
 
+@query("""
+    SELECT CAST(count(*) AS BIGINT) AS records, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS newest_event,
+           CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS without_id FROM events""")
+def observed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures taken while the events are written, without a pass of their own."""
+    rows = events(spark, sf_dir).select(
+        F.col("ts").alias("timestamp"),
+        F.when(F.col("event_type") != "error", F.col("event_id").cast("string")).alias("event_id"),
+    )
+    measures = Observation()
+    rows.observe(measures, *batch_metrics()).write.parquet(workspace(spark, "observed"))
+    seen = measures.get
+    return spark.createDataFrame(
+        [(seen["records"], seen["newest_event"], seen["without_id"])],
+        "records bigint, newest_event timestamp, without_id bigint",
+    ).withColumn("newest_event", text6(F.col("newest_event")))
+
+
 @query("""
     SELECT event_id, 'org.events.' || upper(event_type) || 'Event' AS schema_name,
            upper(event_type) || 'Event' AS event_type FROM events""")

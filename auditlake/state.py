@@ -96,6 +96,13 @@ class State:
             "instance string, kind string, scope string, previous string",
         )
 
+    def backfill(self, instance: str, kind: str, scope: str, start: datetime, confirm: bool) -> None:
+        """Set a watermark back so that the next poll reads from ``start`` on. Log files
+        are stored over themselves, query rows are skipped by their live markers."""
+        if not confirm:
+            raise PermissionError("refusing to move a watermark without confirmation")
+        self.set_watermark(instance, kind, scope, start)
+
     # --- markers: expire --------------------------------------------------------------
 
     def markers(

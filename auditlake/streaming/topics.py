@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,10 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 from auditlake.functions.ids import stream_event_id
 from auditlake.functions.payload import lineage_stream, normalize_payload, stream_event_type
 from auditlake.functions.times import stream_event_time
-from auditlake.operators.aggregates import batch_range
+from auditlake.operators.aggregates import batch_metrics, batch_range
 from auditlake.schemas import STREAM
 from auditlake.session import path_exists
-from auditlake.sinks.archive import archive_units
+from auditlake.sinks.archive import write_archive, write_manifests
 
 EARLIEST = "EARLIEST"
 LATEST = "LATEST"
@@ -165,8 +165,15 @@ def batch_unit(topic: Topic, batch_id: int) -> str:
     return f"{topic.name.strip('/').replace('/', '-')}-{batch_id:012d}"
 
 
-def archive_batch(topic: Topic, root: str, after_write: Callable[[int], None] | None = None):
-    """The `foreachBatch` body: objects, manifests, and only then the commit."""
+Report = Callable[[int, dict], None]
+
+
+def archive_batch(topic: Topic, root: str, report: Report | None = None):
+    """The `foreachBatch` body: objects, manifests, and only then the commit.
+
+    ``report`` is called between manifests and commit with the batch id and the
+    measures taken while the batch was written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -175,9 +182,12 @@ def archive_batch(topic: Topic, root: str, after_write: Callable[[int], None] |
         try:
             unit = batch_unit(topic, batch_id)
             records = event_records(batch, topic, unit)
-            archive_units(records, root, meta=batch_meta(records, topic), unit=unit)
-            if after_write:
-                after_write(batch_id)
+            measures = Observation()
+            written = records.observe(measures, *batch_metrics())
+            write_archive(written, root)
+            write_manifests(batch.sparkSession, root, batch_meta(records, topic), unit)
+            if report:
+                report(batch_id, measures.get)
         finally:
             batch.unpersist()
 
@@ -193,14 +203,14 @@ def archive_stream(
     initial: str | None = None,
     once: bool = False,
     flush_seconds: int = FLUSH_SECONDS,
-    after_write: Callable[[int], None] | None = None,
+    report: Report | None = None,
 ) -> StreamingQuery:
     """Archive a topic. ``once`` works off what has landed and stops."""
     start_position(events.sparkSession, checkpoint, initial)
     writer = (
         events.writeStream.queryName(batch_unit(topic, 0)[:-13])
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(archive_batch(topic, root, after_write))
+        .foreachBatch(archive_batch(topic, root, report))
     )
     if once:
         return writer.trigger(availableNow=True).start()

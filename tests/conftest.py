@@ -12,6 +12,9 @@ from auditlake.session import build  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build("tests", "8", memory="4g", partitions=4)
+    session = build("tests", "8", memory="4g", partitions=2)
+    # Tests run many plans over a handful of rows: compiling them is most of the work.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()

@@ -61,7 +61,7 @@ def where(tmp_path):
 
 def run(spark, landing, where, after_write=None, initial=None, start=EARLIEST, max_files=1):
     stream = read_event_stream(spark, landing.path, SCHEMA, start, "parquet", max_files)
-    query = archive_stream(stream, TOPIC, *where, initial=initial, once=True, after_write=after_write)
+    query = archive_stream(stream, TOPIC, *where, initial=initial, once=True, report=after_write)
     query.awaitTermination()
     return query
 
@@ -87,6 +87,16 @@ def test_records_and_lineage(spark, landing, where):
     }
 
 
+def test_batches_are_measured_as_they_flow(spark, landing, where):
+    landing.land(3)
+    landing.land(4)
+    seen = {}
+    run(spark, landing, where, seen.__setitem__, initial=EARLIEST)
+    assert [seen[b]["records"] for b in sorted(seen)] == [3, 4]
+    assert seen[1]["newest_event"] == datetime(2026, 9, 15, 1, 2, 3, 10_000)
+    assert seen[1]["without_id"] == 0
+
+
 def test_start_needs_a_decision(spark, landing, where):
     landing.land(2)
     with pytest.raises(NoCheckpointError):
@@ -120,7 +130,7 @@ def test_idle_run_leaves_a_usable_position(spark, landing, where):
 @pytest.mark.parametrize("fault", ["before_objects", "between", "after_manifests"])
 @pytest.mark.parametrize("batch", [0, 2])
 def test_crash_loses_and_doubles_nothing(spark, landing, where, monkeypatch, fault, batch):
-    from auditlake.sinks import archive as sink
+    from auditlake.streaming import topics as sink
 
     ids = [i for _ in range(4) for i in landing.land(25)]
     calls = {"n": -1}
@@ -140,7 +150,7 @@ def test_crash_loses_and_doubles_nothing(spark, landing, where, monkeypatch, fau
     elif fault == "between":
         monkeypatch.setattr(sink, "write_manifests", failing(sink.write_manifests, batch))
     else:
-        after = failing(lambda _: None, batch)
+        after = failing(lambda *_: None, batch)
     with pytest.raises(Exception, match="killed"):
         run(spark, landing, where, after, initial=EARLIEST)
     monkeypatch.undo()
@@ -153,7 +163,7 @@ def test_repeated_random_faults(spark, landing, where):
     rng = random.Random(11)
     ids: list[str] = []
 
-    def maybe(_):
+    def maybe(*_):
         if rng.random() < 0.4:
             raise RuntimeError("chaos")
 
@@ -191,14 +201,14 @@ def test_first_failing_topic_stops_the_others(spark, tmp_path):
     good.land(1)
     bad.land(1)
 
-    def boom(_):
+    def boom(*_):
         raise RuntimeError("topic broke")
 
     def start(name, landing, after):
         stream = read_event_stream(spark, landing.path, SCHEMA, fmt="parquet")
         return lambda: archive_stream(
             stream, Topic(name, "main", "00D"), str(tmp_path / "root"), str(tmp_path / f"ck-{landing.path[-4:]}"),
-            initial=EARLIEST, flush_seconds=1, after_write=after,
+            initial=EARLIEST, flush_seconds=1, report=after,
         )
 
     with pytest.raises(Exception, match="topic broke"):
