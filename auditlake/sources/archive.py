@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,6 +112,10 @@ def list_objects(spark: SparkSession, root: str) -> DataFrame:
 
 # --- object scan -------------------------------------------------------------------
 
+# The Python functions below travel to the executors by value: they need neither this
+# package installed there nor a shared working directory.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SLICE = 1 << 20
 _BLOCK = 4 << 20
 _OBJECT_LINES = pa.schema(

@@ -272,3 +272,18 @@ def test_compaction_by_event_date(spark, root, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() == 7
     assert os.path.isdir(f"{out}/event_date=2026-09-15/event_type=Login")
+
+
+def test_worker_functions_travel_without_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from auditlake.sources.archive import _split_objects
+
+    (tmp_path / "fn.pkl").write_bytes(cloudpickle.dumps(_split_objects))
+    code = "import pickle, pyspark; print(pickle.load(open('fn.pkl', 'rb')).__name__)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert done.stdout.strip() == "_split_objects", done.stderr
