@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import exact_dedup, mixing, sharding, url_rules
+from auditlake.llm import exact_dedup, lattice_lm, mixing, packing, sharding, url_rules
 from auditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,11 @@ def query(sql: str | None = None):
     return register
 
 
+def held_out_by(ident: Column, folds: int, fold: int) -> Column:
+    """Rows whose crc32 of the id as text leaves ``fold``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(ident.cast("string"), F.lit("")).cast("binary")) % folds == fold
+
+
 @query(
     r"""
     WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x
@@ -170,3 +176,18 @@ def op9_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     judged = url_rules.judge_urls(pages, "url", url_rules.RULES, html="html")
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    packed = packing.pack_documents(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op4_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = held_out_by(F.col("doc_id"), 7, 2)
+    scored = lattice_lm.score(docs, "doc_id", "text", ~held_out, public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.withColumn("held_out", held_out)
