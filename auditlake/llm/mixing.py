@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from auditlake.llm.common import stage, without
 
 # Of a source's keys; only the rows of the bin in which its budget ends are sorted.
-BINS = 1 << 16
+BINS = 1 << 12
 # A document's words count at most so often, and so do a source's.
 MOST = 3
 WEIGHTS = (5, 2, 1)
@@ -96,7 +96,7 @@ def mix(
     repeated rows are ordered by size, then in any order. A source without words has target 0.
     An empty table gives no rows.
 
-    Sizes are summed in bins of the keys, so that of a source only the rows of one bin in 65536
+    Sizes are summed in bins of the keys, so that of a source only the rows of one bin in 4096
     are sorted, whatever the source's share of all rows.
     """
     rows = measured(docs, text, F.col(ident).alias("ident"), F.col(source).alias("source"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import exact_dedup, lattice_lm, mixing, packing, sharding, url_rules
+from auditlake.llm import exact_dedup, lattice_lm, mixing, multi_index, packing, sharding, url_rules
 from auditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,9 @@ def op4_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = held_out_by(F.col("doc_id"), 7, 2)
     scored = lattice_lm.score(docs, "doc_id", "text", ~held_out, public_tokenizers.path("piece_bpe_32k.model"))
     return scored.withColumn("held_out", held_out)
+
+
+@query()
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return multi_index.search(rows, "vec_id", "embedding", F.col("id") % 20 == 0)
