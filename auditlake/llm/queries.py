@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import exact_dedup, lattice_lm, mixing, multi_index, packing, sharding, url_rules
+from auditlake.llm import exact_dedup, lattice_lm, mixing, multi_index, packing, sharding, toxicity, url_rules
 from auditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,14 @@ def op4_lattice_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return multi_index.search(rows, "vec_id", "embedding", F.col("id") % 20 == 0)
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = held_out_by(F.col("doc_id"), 4, 2)
+    scored = toxicity.score(docs, "doc_id", "text", labels, "doc_id", "toxic", train=~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
