@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import exact_dedup, lattice_lm, mixing, multi_index, packing, sharding, toxicity, url_rules
+from auditlake.llm import exact_dedup, lattice_lm, mixing, multi_index, packing, quality, sharding, toxicity, url_rules
 from auditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    held_out = held_out_by(F.col("doc_id"), 5, 0)
+    scored = quality.score(docs, "doc_id", "text", labels, "doc_id", "quality", train=~held_out, keep=["doc_id"])
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
