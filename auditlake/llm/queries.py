@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import exact_dedup, lattice_lm, mixing, multi_index, packing, quality, sharding, toxicity, url_rules
+from auditlake.llm import exact_dedup, lattice_lm, mixing, multi_index, ngram_join, packing, quality, sharding, toxicity, url_rules
 from auditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query()
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
