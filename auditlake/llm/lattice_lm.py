@@ -161,7 +161,7 @@ def score(docs: DataFrame, ident: str, text: str, train: Column, vocabulary: str
         for r in seen:
             weights[r.piece] += r.n
         model = spark.sparkContext.broadcast((pieces, np.log(weights / weights.sum())))
-    end_share = 1.0 / (different + 1)
+    end_share = 1.0 / (different + 2)
     spread = discount * different / total if total else 1.0
 
     def log10_of(c: np.ndarray, spelled: np.ndarray) -> np.ndarray:
