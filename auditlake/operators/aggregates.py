@@ -34,25 +34,50 @@ def records_by_source(scan: DataFrame) -> DataFrame:
     )
 
 
-def record_refs(lines: DataFrame) -> DataFrame:
-    """`(source, grp, id)` of archived lines, the identifiers a ledger lists.
+LEDGER_SOURCES = (STREAM, EVENTLOG, SOQL)
 
-    Streams are grouped by topic, log files pooled, query rows grouped by event type;
-    limits carry no identifier. A missing or non-text identifier is the blank one.
-    """
+
+def line_ref(source: Column, payload: Column) -> Column:
+    """The identifier that a ledger lists a line by; blank where it is missing or no text."""
     def ref(name: str) -> Column:
-        return F.coalesce(json_string_field(F.col("payload"), name), F.lit(""))
+        return F.coalesce(json_string_field(payload, name), F.lit(""))
 
-    source = F.col("source")
-    return lines.where(source.isin(STREAM, EVENTLOG, SOQL)).select(
-        source,
-        F.when(source == STREAM, F.coalesce("topic", F.lit("")))
-        .when(source == SOQL, F.col("event_type"))
-        .otherwise(F.lit("")).alias("grp"),
+    return (
         F.when(source == STREAM, ref("EventIdentifier"))
         .when(source == EVENTLOG, ref("REQUEST_ID"))
-        .otherwise(ref("Id")).alias("id"),
+        .when(source == SOQL, ref("Id"))
+    )
+
+
+def ledger_group(source: Column, topic: Column, event_type: Column) -> Column:
+    """Streams are grouped by topic, log files pooled, query rows grouped by event type."""
+    return (
+        F.when(source == STREAM, F.coalesce(topic, F.lit("")))
+        .when(source == SOQL, event_type)
+        .otherwise(F.lit(""))
+    )
+
+
+def record_refs(lines: DataFrame) -> DataFrame:
+    """`(source, grp, id)` of archived lines, the identifiers a ledger lists; limits carry none."""
+    source = F.col("source")
+    return lines.where(source.isin(*LEDGER_SOURCES)).select(
+        source,
+        ledger_group(source, F.col("topic"), F.col("event_type")).alias("grp"),
+        line_ref(source, F.col("payload")).alias("id"),
+    )
+
+
+def scanned_ids(scan: DataFrame) -> DataFrame:
+    """`id_occurrences` from the counters of `scan_objects` (with `topic`)."""
+    source = F.col("line_source")
+    rows = scan.where(source.isin(*LEDGER_SOURCES)).select(
+        source.alias("source"),
+        ledger_group(source, F.col("topic"), F.coalesce("line_type", F.lit(""))).alias("grp"),
+        F.col("line_id").alias("id"),
+        "records",
     )
+    return rows.groupBy("source", "grp", "id").agg(F.sum("records").alias("n"))
 
 
 def id_occurrences(refs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -11,10 +12,17 @@ from pyspark.sql import functions as F
 from auditlake.functions.times import ts_lit
 
 
-def dedup(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """One row per id; rows without an id are all kept and not shuffled."""
+# What makes two stored rows the same event: an id means nothing outside its source and org.
+EVENT_KEYS = ("source", "org_id", "instance", "event_type", "event_id")
+
+
+def dedup(df: DataFrame, key: str = "event_id", keys: Sequence[str] = ()) -> DataFrame:
+    """One row per id; rows without an id are all kept and not shuffled.
+
+    ``keys`` are further columns that have to be equal; nulls are equal to each other.
+    """
     keyless = F.coalesce(F.col(key), F.lit("")) == ""
-    return df.where(~keyless).dropDuplicates([key]).unionByName(df.where(keyless))
+    return df.where(~keyless).dropDuplicates([*keys, key]).unionByName(df.where(keyless))
 
 
 def duplicate_report(df: DataFrame, key: str = "event_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.operators.records import dedup
+from auditlake.operators.records import EVENT_KEYS, dedup
 from auditlake.sources.archive import read_archive
 
 CURATED = [
@@ -17,8 +17,15 @@ CURATED = [
 
 
 def curated_rows(archived: DataFrame) -> DataFrame:
-    """De-duplicated records with their event date."""
-    return dedup(archived).withColumn("event_date", F.to_date("timestamp")).select(*CURATED)
+    """De-duplicated records with their event date.
+
+    An id belongs to its source, org, instance and event type. A line kept in quarantine
+    is another kind of record than a row parsed from the same file, even under one id.
+    """
+    kind = F.col("part_unit").endswith("-quarantine") if "part_unit" in archived.columns else F.lit(False)
+    rows = archived.withColumn("__quarantined", F.coalesce(kind, F.lit(False)))
+    rows = dedup(rows, keys=[*EVENT_KEYS[:-1], "__quarantined"])
+    return rows.withColumn("event_date", F.to_date("timestamp")).select(*CURATED)
 
 
 def compact_to_parquet(
@@ -26,12 +33,16 @@ def compact_to_parquet(
 ) -> None:
     """Rewrite archived records as Parquet by event date and type.
 
-    The archive is partitioned by arrival, the copy by event time. ``paths`` limits
-    the scan to some hour folders; the dates found there are then rewritten whole, so
-    the folders given have to cover them. A busy date or type is split over several
-    files by REBALANCE.
+    The archive is partitioned by arrival, the copy by event time. ``paths`` names hour
+    folders that have something new: the event dates found there are rewritten, from all
+    records of these dates wherever they lie, so nothing written earlier is lost. A busy
+    date or type is split over several files by REBALANCE.
     """
-    rows = curated_rows(read_archive(spark, root, paths, units))
+    rows = read_archive(spark, root, units=units)
+    if paths:
+        dates = read_archive(spark, root, paths, units).select(F.to_date("timestamp").alias("d")).distinct()
+        rows = rows.join(dates, F.to_date("timestamp").eqNullSafe(F.col("d")), "left_semi")
+    rows = curated_rows(rows)
     (
         rows.hint("rebalance", "event_date", "event_type")
         .write.partitionBy("event_date", "event_type")

@@ -12,15 +12,15 @@ from auditlake.functions.layout import MANIFESTS
 from auditlake.operators import verify as checks
 from auditlake.operators.aggregates import (
     gap_report,
-    id_occurrences,
+    line_ref,
     missing_examples,
-    record_refs,
     records_by_source,
+    scanned_ids,
 )
 from auditlake.operators.joins import attach_lineage, match_objects, missing_ids
 from auditlake.schemas import MANIFEST, MANIFEST_VERSION
 from auditlake.session import path_exists, stage
-from auditlake.sources.archive import object_facts, read_archive, read_manifests, scan_objects
+from auditlake.sources.archive import object_facts, read_manifests, scan_objects
 
 # Finding kinds that fail a verification; an object without manifest fails only in
 # strict mode, because a repeated batch may leave one behind.
@@ -54,16 +54,15 @@ class Verification:
 
 def verify_archive(
     spark: SparkSession, root: str, expected: DataFrame | None = None, strict: bool = False,
-    units: bool = True,
 ) -> Verification:
     """Check every object against its manifest and, where ``expected`` (`source, grp,
-    ord, id`) is given, every archived id against that list."""
+    ord, id`) is given, every archived id against that list. The objects are read once."""
     if path_exists(spark, f"{root.rstrip('/')}/{MANIFESTS}"):
         manifests = read_manifests(spark, root)
     else:
         manifests = spark.createDataFrame([], f"manifest_path string, manifest struct<{_struct(MANIFEST)}>")
     manifests = stage(manifests, "manifests")
-    scan = stage(scan_objects(spark, root), "scan")
+    scan = stage(scan_objects(spark, root, line_ref=line_ref if expected is not None else None), "scan")
     objects = object_facts(scan)
     firsts, surplus = checks.usable_manifests(manifests)
     firsts = stage(firsts, "first-manifests")
@@ -91,11 +90,10 @@ def verify_archive(
     )
     gaps = examples = None
     if expected is not None:
-        # Damaged objects are passed over here: they are findings already.
-        lines = read_archive(spark, root, units=units, skip_damaged=True)
-        lines = lines.join(skipped, "object_key", "left_anti")
-        lines = attach_lineage(lines, firsts.select("objectKey", "manifest.lineage"))
-        seen = stage(id_occurrences(record_refs(lines)), "seen")
+        # Damaged objects are left out here: they are findings already.
+        counted = scan.join(skipped, "object_key", "left_anti")
+        counted = attach_lineage(counted, firsts.select("objectKey", "manifest.lineage"))
+        seen = stage(scanned_ids(counted), "seen")
         gaps = stage(gap_report(expected, seen), "gaps")
         examples = missing_examples(missing_ids(expected, seen))
     return Verification(findings, by_source, objects, manifests, gaps, examples, strict)

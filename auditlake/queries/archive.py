@@ -18,6 +18,7 @@ from auditlake.operators.records import timeline
 from auditlake.plans.compaction import compact_to_parquet
 from auditlake.plans.verify import verify_archive
 from auditlake.queries.registry import (
+    ARRIVAL,
     EVENT_PAYLOAD_SQL,
     event_payload,
     event_records,
@@ -30,6 +31,7 @@ from auditlake.sinks.archive import archive_units, object_meta, write_archive
 from auditlake.sources.archive import list_objects, read_archive, read_manifests
 from auditlake.streaming.topics import (
     EARLIEST,
+    LATEST,
     Topic,
     archive_stream,
     dedup_stream,
@@ -247,14 +249,74 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+STREAMED = "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, instance FROM events, (SELECT {} AS instance) {}"
+
+
+def _run_topic(spark: SparkSession, landing: str, schema: T.StructType, root: str, checkpoint: str, start: str, name="main"):
+    stream = read_event_stream(spark, landing, schema, start, "parquet", checkpoint=checkpoint)
+    topic = Topic("/event/Test", name, "00D000000000001", "prod")
+    archive_stream(stream, topic, root, checkpoint, initial=start, once=True).awaitTermination()
+
+
+def _streamed(spark: SparkSession, root: str) -> DataFrame:
+    return read_archive(spark, root).select("event_id", "event_type", "instance")
+
+
+def _thirds(spark: SparkSession, sf_dir: str, name: str) -> tuple[list[DataFrame], str]:
+    """Landed test events in three parts, and an empty landing folder."""
+    source, schema = _landed(spark, sf_dir, f"{name}-events")
+    rows = spark.read.schema(schema).parquet(source)
+    third = F.col("payload.EventUuid").cast("bigint") % 3
+    return [rows.where(third == i) for i in range(3)], workspace(spark, name)
+
+
+@query(STREAMED.format("'main'", "WHERE event_id % 3 <> 0"))
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic started with LATEST, stopped, and started again with the same settings twice,
+    with events landing while it was down."""
+    parts, landing = _thirds(spark, sf_dir, "restart-landing")
+    root, checkpoint = workspace(spark, "restart"), workspace(spark, "restart-checkpoint")
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        _run_topic(spark, landing, part.schema, root, checkpoint, LATEST)
+    return _streamed(spark, root)
+
+
+@query(STREAMED.format("'main'", ""))
+def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic taken up with a new checkpoint each time replaces no earlier batch."""
+    parts, _ = _thirds(spark, sf_dir, "unused")
+    root = workspace(spark, "checkpoints")
+    for part in parts:
+        landing = workspace(spark, "checkpoint-landing")
+        part.write.parquet(landing)
+        _run_topic(spark, landing, part.schema, root, workspace(spark, "new-checkpoint"), EARLIEST)
+    return _streamed(spark, root)
+
+
+@query(STREAMED.format("unnest(['one', 'two'])", ""))
+def stream_two_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two instances archive one topic side by side; each has all its events."""
+    landing, schema = _landed(spark, sf_dir, "instances-landing")
+    root = workspace(spark, "instances")
+    for name in ("one", "two"):
+        _run_topic(spark, landing, schema, root, workspace(spark, f"instance-{name}"), EARLIEST, name)
+    return _streamed(spark, root)
+
+
 @query(f"""
     SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, {TS6} AS ts FROM events""")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed with repeats, each passed on once by a streaming query."""
     landing, out = workspace(spark, "repeats"), workspace(spark, "once")
     rows = event_records(events(spark, sf_dir)).select("event_id", "event_type", "timestamp")
-    rows.unionByName(rows.where(F.col("event_type").isin("purchase", "error"))).write.parquet(landing)
-    stream = spark.readStream.schema(rows.schema).parquet(landing)
+    # Three files, and so three batches, that arrive one after the other; the second has repeats.
+    again = rows.where(F.col("event_type").isin("purchase", "error"))
+    for hour, part in enumerate([rows.where("event_id % 2 = 0"), again, rows.where("event_id % 2 = 1")]):
+        arrival = F.lit(ARRIVAL).cast("timestamp") + F.make_dt_interval(hours=F.lit(hour))
+        part.withColumn("arrival", arrival).coalesce(1).write.mode("append").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
     (
         dedup_stream(stream)
         .writeStream.format("parquet")

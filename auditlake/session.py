@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -27,6 +29,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Spark takes it at its start only, so it is never set here, only read.
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
 def build(app: str, cores: str = "*", memory: str = "8g", partitions: int = 16) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = (
@@ -44,18 +50,23 @@ def build(app: str, cores: str = "*", memory: str = "8g", partitions: int = 16)
     return configure(spark)
 
 
+@functools.cache
+def _local_folder() -> str:
+    """One temporary folder for all sessions of this process."""
+    return tempfile.mkdtemp(prefix="auditlake-")
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder all executors can reach, below ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder: on a cluster a
     machine-local path would be invisible to the other executors.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="auditlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/auditlake/{name}-{uuid.uuid4().hex}"
 
 
@@ -74,3 +85,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the folder of a staged frame that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if "/auditlake/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none where it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in store.listStatus(path)] if store.exists(path) else []

@@ -21,7 +21,6 @@ from auditlake.schemas import (
 from auditlake.sources.archive import describe_stored, raw_root
 
 DEFAULT_RECORDS_PER_OBJECT = 10_000
-MANIFEST_TASKS = 1_000
 
 
 def unique_unit(now: datetime) -> str:
@@ -157,9 +156,10 @@ def put_manifests(manifests: DataFrame, root: str) -> None:
         F.to_json(F.struct(*manifests.columns)).alias("value"),
         *[key_part(F.col("objectKey"), k).alias(k) for k in PART_KEYS],
     )
-    # Each row becomes a file, so the number of files sets the cost, not their bytes.
-    slots = min(manifests.sparkSession.sparkContext.defaultParallelism, MANIFEST_TASKS)
-    spread = keyed.repartition(slots, *PART_KEYS)
+    # Each row becomes a file, so the number of files sets the cost, not their bytes, and they
+    # are dealt by object: one unit may hold nearly all of them.
+    slots = manifests.sparkSession.sparkContext.defaultParallelism
+    spread = keyed.withColumn("key", F.xxhash64("value")).repartition(slots, "key").drop("key")
     writer = spread.write.partitionBy(*PART_KEYS).option("maxRecordsPerFile", 1)
     _replace_folders(writer, f"{root.rstrip('/')}/{MANIFESTS}")
 

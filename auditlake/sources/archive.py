@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -35,13 +35,11 @@ def read_lines(
     root: str,
     paths: Sequence[str] | None = None,
     units: bool = True,
-    skip_damaged: bool = False,
 ) -> DataFrame:
     """Stored lines as text with their partition keys as strings.
 
     ``units=False`` reads a layout whose objects lie directly in the hour folders. A
-    damaged object stops the scan; ``skip_damaged`` is for callers that have listed
-    the damaged ones by `scan_objects` and take their lines out.
+    damaged object stops the scan; `scan_objects` passes over it and says so.
     """
     keys = PART_KEYS if units else HOUR_KEYS
     schema = "value string, " + ", ".join(f"{k} string" for k in keys)
@@ -49,7 +47,6 @@ def read_lines(
         spark.read.schema(schema)
         .option("basePath", raw_root(root))
         .option("lineSep", "\n")
-        .option("ignoreCorruptFiles", str(skip_damaged).lower())
     )
     lines = reader.text(list(paths) if paths else raw_root(root))
     return lines.select(
@@ -64,11 +61,10 @@ def read_archive(
     root: str,
     paths: Sequence[str] | None = None,
     units: bool = True,
-    skip_damaged: bool = False,
 ) -> DataFrame:
     """Archived records. Header fields keep the stored values; the sanitised path keys
     are `part_*` columns and prune the scan. The payload is the exact stored text."""
-    lines = read_lines(spark, root, paths, units, skip_damaged).where(F.trim("value") != "")
+    lines = read_lines(spark, root, paths, units).where(F.trim("value") != "")
     header = header_of(F.col("value"))
     kept = [c for c in lines.columns if c != "value"]
     return (
@@ -260,10 +256,18 @@ def describe_stored(
 
 
 def scan_objects(
-    spark: SparkSession, root: str, paths: Sequence[str] | None = None, unit: str | None = None
+    spark: SparkSession,
+    root: str,
+    paths: Sequence[str] | None = None,
+    unit: str | None = None,
+    line_ref: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """What each object holds, per object and source of its records.
 
+    With ``line_ref`` (of source and payload) also per event type and identifier, for a
+    comparison with a ledger: the identifier is taken from a line where it is inflated, and
+    no payload is shuffled.
+
     One pass over the stored bytes: Python only inflates an object into lines, the
     lines are parsed and counted by Spark. All lines of an object are counted in the
     task that inflated it, so only a few counters per object are shuffled. A damaged
@@ -272,9 +276,13 @@ def scan_objects(
     lines = _inflated(spark, root, paths, unit)
     source = F.when(F.col("is_line"), F.coalesce("header.source", F.lit("")))
     bad = F.col("is_line") & F.coalesce(_undecodable(F.col("text")), F.lit(True))
-    counted = lines.groupBy("tag", source.alias("line_source")).agg(
-        *_measures(), F.count_if(bad).alias("bad_lines")
-    )
+    keys = [source.alias("line_source")]
+    if line_ref is not None:
+        keys += [
+            F.when(F.col("is_line"), F.col("header.event_type")).alias("line_type"),
+            F.when(F.col("is_line"), line_ref(source, payload_of(F.col("text")))).alias("line_id"),
+        ]
+    counted = lines.groupBy("tag", *keys).agg(*_measures(), F.count_if(bad).alias("bad_lines"))
     return _untagged(counted)
 
 

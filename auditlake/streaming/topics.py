@@ -1,12 +1,14 @@
 """Event topics: archive each micro-batch, then let Spark commit its position.
 
-A batch is stored under a name made of topic and batch id, in the hours its events
-arrived. Both are the same when Spark repeats a batch after a crash, so a repeat
-replaces what the first try left behind: nothing is lost and nothing doubled.
+A batch is stored under a name made of topic, instance, the checkpoint's own id and batch
+id, in the hours its events arrived. All are the same when Spark repeats a batch after a
+crash, so a repeat replaces what the first try left behind: nothing is lost and nothing
+doubled. A new checkpoint or another instance has names of its own and replaces nothing.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -20,7 +22,7 @@ from auditlake.functions.payload import lineage_stream, normalize_payload, strea
 from auditlake.functions.times import stream_event_time
 from auditlake.operators.aggregates import batch_metrics, batch_range
 from auditlake.schemas import STREAM
-from auditlake.session import path_exists
+from auditlake.session import child_names, path_exists
 from auditlake.sinks.archive import write_archive, write_manifests
 
 EARLIEST = "EARLIEST"
@@ -37,7 +39,8 @@ class NoCheckpointError(RuntimeError):
 
 
 def has_position(spark: SparkSession, checkpoint: str) -> bool:
-    return path_exists(spark, f"{checkpoint.rstrip('/')}/offsets/0")
+    """Any offset counts: Spark deletes the first ones after a while."""
+    return any(name.isdigit() for name in child_names(spark, f"{checkpoint.rstrip('/')}/offsets"))
 
 
 def start_position(spark: SparkSession, checkpoint: str, initial: str | None) -> str:
@@ -52,6 +55,32 @@ def start_position(spark: SparkSession, checkpoint: str, initial: str | None) ->
     return initial
 
 
+CUT = "path string, arrival timestamp"
+
+
+def first_cut(spark: SparkSession, landing: str, checkpoint: str, start: str) -> DataFrame | None:
+    """Newest files that a start with LATEST passes over, or None where nothing is passed over.
+
+    They are listed once, before the first batch, and kept beside the checkpoint: every
+    later start passes over the same files, whatever it is asked for, and no other. The times
+    are those of the store that holds the files, no clock of this machine.
+    """
+    stored = f"{checkpoint.rstrip('/')}-latest"
+    if path_exists(spark, f"{stored}/_SUCCESS"):
+        return spark.read.schema(CUT).parquet(stored)
+    if start != LATEST or has_position(spark, checkpoint):
+        return None
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+        .select("path", F.col("modificationTime").alias("arrival"))
+    )
+    newest = files.agg(F.max("arrival").alias("newest"))
+    files.join(F.broadcast(newest), F.col("arrival") == F.col("newest")).select("path", "arrival").write.mode(
+        "overwrite"
+    ).parquet(stored)
+    return spark.read.schema(CUT).parquet(stored)
+
+
 def read_event_stream(
     spark: SparkSession,
     landing: str,
@@ -59,17 +88,22 @@ def read_event_stream(
     start: str = EARLIEST,
     fmt: str = "json",
     max_files: int = FILES_PER_TRIGGER,
+    checkpoint: str | None = None,
+    max_bytes: str | None = None,
 ) -> DataFrame:
     """Unbounded scan of landed events with their arrival time.
 
-    An event that does not fit the schema stops the stream. With LATEST the files
-    present at the first start are passed over; the source remembers them, so a
-    restart takes up where the first run stopped.
+    An event that does not fit the schema stops the stream. With LATEST the files present
+    at the first start are passed over, and only these: see `first_cut`. ``checkpoint`` has
+    to be the one the stream is run with. A batch takes up to ``max_files`` files, or files of
+    ``max_bytes`` in all.
     """
+    if start == LATEST and not checkpoint:
+        raise ValueError("LATEST needs the checkpoint, to keep what was passed over")
     stream = (
         spark.readStream.format(fmt)
         .schema(schema)
-        .option("maxFilesPerTrigger", max_files)
+        .option("maxBytesPerTrigger" if max_bytes else "maxFilesPerTrigger", max_bytes or max_files)
         .option("mode", "FAILFAST")
         .load(landing)
         .withColumn("arrival", F.col("_metadata.file_modification_time"))
@@ -79,10 +113,16 @@ def read_event_stream(
             F.struct("arrival", "_metadata.file_path", "_metadata.file_block_start"),
         )
     )
-    if start == LATEST:
-        now = spark.range(1).select(F.current_timestamp().alias("t")).head().t
-        stream = stream.where(F.col("arrival") > F.lit(now))
-    return stream
+    cut = first_cut(spark, landing, checkpoint, start) if checkpoint else None
+    if cut is None:
+        return stream
+    # Files of one moment: those listed are old, others landed after the list was made.
+    old = cut.collect()
+    if not old:
+        return stream
+    later = F.col("arrival") > F.lit(old[0].arrival)
+    known = F.col("arrival_order.file_path").isin([r.path for r in old])
+    return stream.where(later | ((F.col("arrival") == F.lit(old[0].arrival)) & ~known))
 
 
 def read_kafka_topic(
@@ -161,14 +201,21 @@ def batch_meta(records: DataFrame, topic: Topic) -> DataFrame:
     )
 
 
-def batch_unit(topic: Topic, batch_id: int) -> str:
-    return f"{topic.name.strip('/').replace('/', '-')}-{batch_id:012d}"
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the checkpoint: kept over restarts, new with a new checkpoint."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).head()
+    return json.loads(text.value)["id"].replace("-", "")
+
+
+def batch_unit(topic: Topic, run: str, batch_id: int) -> str:
+    name = "-".join([topic.name.strip("/"), topic.instance, run]).replace("/", "-")
+    return f"{name}-{batch_id:012d}"
 
 
 Report = Callable[[int, dict], None]
 
 
-def archive_batch(topic: Topic, root: str, report: Report | None = None):
+def archive_batch(topic: Topic, root: str, checkpoint: str, report: Report | None = None):
     """The `foreachBatch` body: objects, manifests, and only then the commit.
 
     ``report`` is called between manifests and commit with the batch id and the
@@ -180,7 +227,7 @@ def archive_batch(topic: Topic, root: str, report: Report | None = None):
             return  # an idle trigger still commits its position
         batch = batch.persist()
         try:
-            unit = batch_unit(topic, batch_id)
+            unit = batch_unit(topic, run_id(batch.sparkSession, checkpoint), batch_id)
             records = event_records(batch, topic, unit)
             measures = Observation()
             written = records.observe(measures, *batch_metrics())
@@ -208,9 +255,9 @@ def archive_stream(
     """Archive a topic. ``once`` works off what has landed and stops."""
     start_position(events.sparkSession, checkpoint, initial)
     writer = (
-        events.writeStream.queryName(batch_unit(topic, 0)[:-13])
+        events.writeStream.queryName(f"{topic.name.strip('/')}-{topic.instance}".replace("/", "-"))
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(archive_batch(topic, root, report))
+        .foreachBatch(archive_batch(topic, root, checkpoint, report))
     )
     if once:
         return writer.trigger(availableNow=True).start()
@@ -233,9 +280,13 @@ def run_topics(spark: SparkSession, starts: Sequence[Callable[[], StreamingQuery
             query.stop()
 
 
-def dedup_stream(df: DataFrame, time: str = "timestamp", delay: str = DEDUP_DELAY, key: str = "event_id") -> DataFrame:
+def dedup_stream(df: DataFrame, arrival: str = "arrival", delay: str = DEDUP_DELAY, key: str = "event_id") -> DataFrame:
     """First event per id within a bounded horizon; state older than it is dropped.
-    Events without an id are dropped by no one: they take their own way around."""
-    keyless = F.coalesce(F.col(key), F.lit("")) == ""
-    marked = df.where(~keyless).withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
-    return marked.unionByName(df.where(keyless).withWatermark(time, delay))
+
+    The horizon runs on the time events *arrived*, which only grows: an event that happened
+    long ago is as new as its arrival, and none is late. Events without an id get one of
+    their own for this step, so all take one way and one watermark.
+    """
+    own = F.when(F.coalesce(F.col(key), F.lit("")) == "", F.concat(F.lit("\0"), F.expr("uuid()"))).otherwise(F.col(key))
+    once = df.withColumn("__once", own).withWatermark(arrival, delay).dropDuplicatesWithinWatermark(["__once"])
+    return once.drop("__once")

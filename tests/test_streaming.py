@@ -59,9 +59,9 @@ def where(tmp_path):
     return str(tmp_path / "archive"), str(tmp_path / "checkpoint")
 
 
-def run(spark, landing, where, after_write=None, initial=None, start=EARLIEST, max_files=1):
-    stream = read_event_stream(spark, landing.path, SCHEMA, start, "parquet", max_files)
-    query = archive_stream(stream, TOPIC, *where, initial=initial, once=True, report=after_write)
+def run(spark, landing, where, after_write=None, initial=None, start=EARLIEST, max_files=1, topic=TOPIC):
+    stream = read_event_stream(spark, landing.path, SCHEMA, start, "parquet", max_files, checkpoint=where[1])
+    query = archive_stream(stream, topic, *where, initial=initial, once=True, report=after_write)
     query.awaitTermination()
     return query
 
@@ -110,14 +110,54 @@ def test_start_needs_a_decision(spark, landing, where):
     assert archived(spark, where) == ["u0", "u1", "u2", "u3"]
 
 
-def test_latest_passes_over_what_is_there(spark, landing, where):
-    landing.land(2)
-    run(spark, landing, where, initial=LATEST, start=LATEST)
+def test_latest_passes_over_what_is_there_and_nothing_else(spark, landing, where):
     landing.land(2)
+    with pytest.raises(ValueError):
+        read_event_stream(spark, landing.path, SCHEMA, LATEST, "parquet")
+    for _ in range(3):  # the same settings at each start, with events landing in between
+        run(spark, landing, where, initial=LATEST, start=LATEST)
+        landing.land(2)
     run(spark, landing, where)
+    assert archived(spark, where) == ["u2", "u3", "u4", "u5", "u6", "u7"]
+
+
+def test_latest_holds_when_the_first_batch_is_repeated(spark, landing, where):
+    def fail(*_):
+        raise RuntimeError("killed")
+
+    landing.land(2)
+    read_event_stream(spark, landing.path, SCHEMA, LATEST, "parquet", checkpoint=where[1])  # decides the cut
+    landing.land(2)
+    with pytest.raises(Exception, match="killed"):
+        run(spark, landing, where, fail, initial=LATEST, start=LATEST)
+    run(spark, landing, where, initial=LATEST, start=LATEST)
     assert archived(spark, where) == ["u2", "u3"]
 
 
+def test_position_is_found_after_old_offsets_are_deleted(spark, landing, where):
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    try:
+        ids = [i for _ in range(6) for i in landing.land(1)]
+        run(spark, landing, where, initial=EARLIEST)
+        ids += landing.land(1)
+        run(spark, landing, where)
+    finally:
+        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+    assert archived(spark, where) == sorted(ids)
+
+
+def test_runs_of_one_topic_replace_nothing_of_each_other(spark, landing, where, tmp_path):
+    ids = landing.land(2)
+    run(spark, landing, where, initial=EARLIEST)
+    other, again = Landing(spark, tmp_path / "other"), Landing(spark, tmp_path / "again")
+    other.n, again.n = 100, 200
+    ids += other.land(1) + again.land(1)
+    run(spark, other, (where[0], str(tmp_path / "two")), initial=EARLIEST, topic=Topic("/event/Login", "two", "00D", "prod"))
+    run(spark, again, (where[0], str(tmp_path / "new")), initial=EARLIEST)
+    assert archived(spark, where) == sorted(ids)
+    assert verify_archive(spark, where[0], strict=True).report().head().ok
+
+
 def test_idle_run_leaves_a_usable_position(spark, landing, where):
     ids = landing.land(2)
     for _ in range(2):
@@ -216,17 +256,26 @@ def test_first_failing_topic_stops_the_others(spark, tmp_path):
     assert not spark.streams.active
 
 
-def test_stream_dedup_keeps_events_without_id(spark, tmp_path):
-    rows = [("a", 0), ("a", 1), ("b", 2), ("", 3), ("", 4)]
-    df = spark.createDataFrame(rows, "event_id string, n int").withColumn(
-        "timestamp", ts_lit(datetime(2026, 1, 1)) + F.make_dt_interval(secs=F.col("n"))
-    )
+def test_stream_dedup(spark, tmp_path):
+    """Several batches, old events among new ones, events without id, and state that is dropped."""
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    df.write.parquet(src)
+    # (id, day it happened, day it arrived), a batch for each day of arrival
+    rows = [("a", 30, 1), ("", 1, 1), ("", 1, 1), ("b", 2, 2), ("a", 30, 2), ("c", 1, 20), ("", 3, 20), ("d", 9, 40), ("e", 1, 41), ("c", 1, 42)]
+    for day in sorted({r[2] for r in rows}):
+        df = spark.createDataFrame([r for r in rows if r[2] == day], "event_id string, happened int, day int")
+        arrival = ts_lit(datetime(2026, 1, 1)) + F.make_dt_interval(days=F.col("day"))
+        df.withColumn("arrival", arrival).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
     query = (
-        dedup_stream(spark.readStream.schema(df.schema).parquet(src))
+        dedup_stream(stream)
         .writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
         .trigger(availableNow=True).start(out)
     )
     query.awaitTermination()
-    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["", "", "a", "b"]
+    got = sorted(r.event_id for r in spark.read.parquet(out).collect())
+    # The second c arrived after the horizon of the first.
+    assert got == ["", "", "", "a", "b", "c", "c", "d", "e"]
+    states = [p["stateOperators"][0] for p in map(lambda p: json.loads(p.json), query.recentProgress) if p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
+    totals = [s["numRowsTotal"] for s in states]
+    assert totals[-1] < max(totals)
