@@ -92,11 +92,14 @@ def query_fingerprint(
     end_timestamp: Column,
     api: Column,
 ) -> Column:
-    """16 hex digits naming one configured query; select order does not matter."""
+    """16 hex digits naming one configured query; select order does not matter.
+
+    Each part is preceded by its length, so no two queries run into one text.
+    """
     fields = F.array_sort(F.transform(select, lambda s: F.lower(F.trim(s))))
-    listed = F.concat(F.lit('["'), F.array_join(fields, '" "'), F.lit('"]'))
+    listed = F.array_join(F.transform(fields, _length_prefixed), "")
     parts = [from_, listed, where, tail, timestamp, end_timestamp, api]
-    text = F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
+    text = F.concat(*[_length_prefixed(F.coalesce(p, F.lit(""))) for p in parts])
     return F.substring(F.sha2(text, 256), 1, 16)
 
 

@@ -14,10 +14,22 @@ from auditlake.functions.times import rfc3339_seconds
 ALWAYS_KEPT = ["EVENT_TYPE", "TIMESTAMP", "REQUEST_ID"]
 
 # The API puts its metadata member first; nested objects inside it are not used.
-LEADING_ATTRIBUTES = (
-    r'^\s*\{\s*"attributes"\s*:\s*'
-    r'\{(?:[^{}"]|"(?:[^"\\]|\\.)*+")*+\}\s*,?\s*'
-)
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def _nested(depth: int) -> str:
+    """Pattern of an object or array with up to ``depth`` levels inside."""
+    inner = rf"|{_nested(depth - 1)}" if depth else ""
+    return rf'[{{\[](?:[^{{}}\[\]"]++|{_STRING}{inner})*+[}}\]]'
+
+
+_VALUE = rf'(?:{_STRING}|{_nested(8)}|[^\s,{{}}\[\]"]++)'
+_MEMBER = rf"\s*+{_STRING}\s*+:\s*+{_VALUE}\s*+"
+_ATTRIBUTES = rf'\s*+"attributes"\s*+:\s*+{_VALUE}\s*+'
+# The member with the comma behind it, or, as the last one, with the comma before it.
+ATTRIBUTES_FIRST = rf"^(\s*+\{{(?:{_MEMBER},)*?){_ATTRIBUTES},\s*+"
+ATTRIBUTES_LAST = rf"^(\s*+\{{(?:{_MEMBER},)*?{_MEMBER}),{_ATTRIBUTES}\}}"
+ATTRIBUTES_ALONE = rf"^(\s*+\{{){_ATTRIBUTES}\}}"
 
 
 def payload_map(payload: Column) -> Column:
@@ -44,15 +56,20 @@ def apply_field_mapping(
 
 
 def drop_metadata(row_json: Column) -> Column:
-    """Remove the top-level ``attributes`` member. A leading one is cut out of the
-    text, so every other byte of the row stays as it was."""
-    cut = F.regexp_replace(row_json, LEADING_ATTRIBUTES, "{")
-    members = F.from_json(row_json, "map<string,variant>")
-    rebuilt = F.to_json(F.map_filter(members, lambda k, _: k != "attributes"))
-    elsewhere = (cut == row_json) & row_json.contains('"attributes"')
-    return F.when(
-        elsewhere & F.map_contains_key(members, F.lit("attributes")), rebuilt
-    ).otherwise(cut)
+    """Remove the top-level ``attributes`` member, wherever it stands.
+
+    Its text and one comma are cut out, so every other byte of the row stays as it was:
+    numbers keep their digits. A row nested too deeply for the patterns is left whole.
+    """
+    first = F.regexp_replace(row_json, ATTRIBUTES_FIRST, "$1")
+    last = F.regexp_replace(row_json, ATTRIBUTES_LAST, "$1}")
+    alone = F.regexp_replace(row_json, ATTRIBUTES_ALONE, "$1}")
+    return (
+        F.when(~row_json.contains('"attributes"'), row_json)
+        .when(first != row_json, first)
+        .when(last != row_json, last)
+        .otherwise(alone)
+    )
 
 
 def csv_event_type(row: Column, catalog_type: Column) -> Column:

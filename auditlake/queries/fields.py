@@ -81,9 +81,12 @@ def row_version_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT p_partkey, substring(sha256(p_brand || '|["'
-        || array_to_string(list_sort([lower(trim(p_type)), lower(p_brand), 'p' || p_size]), '" "')
-        || '"]|p_size > ' || p_size || '|ORDER BY Id|CreatedDate||rest'), 1, 16) AS fingerprint FROM part""")
+    SELECT p_partkey, substring(sha256(array_to_string(list_transform([
+            p_brand,
+            array_to_string(list_transform(list_sort([lower(trim(p_type)), lower(p_brand), 'p' || p_size]),
+                                           lambda v: strlen(v) || ':' || v || '|'), ''),
+            'p_size > ' || p_size, 'ORDER BY Id', 'CreatedDate', '', 'rest'],
+        lambda v: strlen(v) || ':' || v || '|'), '')), 1, 16) AS fingerprint FROM part""")
 def query_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of query specifications made of part rows."""
     size = F.col("p_size").cast("string")

@@ -23,7 +23,7 @@ from auditlake.plans.verify import verify_archive
 from auditlake.sources.archive import read_archive, read_manifests
 from auditlake.state import LOG_FILES, MALFORMED, QUERY, State
 
-NOW = datetime(2026, 9, 15, 12, 0, 0, 700_000)
+NOW = datetime(2027, 4, 21, 12, 0, 0, 700_000)
 
 
 @pytest.fixture
@@ -44,7 +44,7 @@ class Org:
     def add(self, name: str, minute: int, body: str | None, **changes):
         row = {
             "attributes": {"type": "EventLogFile"}, "Id": name, "EventType": "Login",
-            "CreatedDate": f"2026-09-15T10:{minute:02d}:00.000+0000", "LogDate": "2026-09-15T09:00:00.000+0000",
+            "CreatedDate": f"2027-04-21T10:{minute:02d}:00.000+0000", "LogDate": "2027-04-21T09:00:00.000+0000",
             "Interval": "Hourly", "Sequence": 1, "LogFileLength": float(len(body)) if body else 0.0, "LogFile": "/x",
         }
         self.rows.append({**row, **changes})
@@ -82,7 +82,7 @@ def test_log_files_are_archived_once(spark, collector, org):
     rows = read_archive(spark, collector.root).collect()
     assert sorted(json.loads(r.payload)["REQUEST_ID"] for r in rows) == ["r1", "r2", "r3"]
     assert {(r.part_unit, r.part_hour) for r in rows} == {("elf-A", "09"), ("elf-B", "10")}
-    assert mark(collector) == datetime(2026, 9, 15, 10, 2)
+    assert mark(collector) == datetime(2027, 4, 21, 10, 2)
     lineage = {m.lineage["eventLogFileId"]: m.lineage for m in read_manifests(spark, collector.root).select("manifest.*").collect()}
     assert lineage["A"]["interval"] == "Hourly" and lineage["B"]["logDate"] == "not-a-date"
     assert verify_archive(spark, collector.root, strict=True).report().head().ok
@@ -92,7 +92,7 @@ def test_lost_markers_do_not_double_files(spark, collector, org):
     org.add("A", 1, csv("r1", "r2"))
     org.poll(spark, collector)
     late = NOW + timedelta(days=8)  # markers have expired
-    collector.state.set_watermark("main", LOG_FILES, "", datetime(2026, 9, 15, 10, 30))
+    collector.state.set_watermark("main", LOG_FILES, "", datetime(2027, 4, 21, 10, 30))
     org.poll(spark, collector, now=late)
     assert read_archive(spark, collector.root).count() == 2
     assert read_manifests(spark, collector.root).count() == 1
@@ -104,11 +104,11 @@ def test_first_failure_stops_the_poll(spark, collector, org):
     outcomes = org.poll(spark, collector)
     assert {r.file_id: r.failed for r in outcomes.collect()}["D"]
     assert read_archive(spark, collector.root).count() == 3
-    assert mark(collector) == datetime(2026, 9, 15, 10, 2)
+    assert mark(collector) == datetime(2027, 4, 21, 10, 2)
     (org.files / "D.csv").write_text(csv("rD"))
     org.poll(spark, collector)
     assert read_archive(spark, collector.root).count() == 6
-    assert mark(collector) == datetime(2026, 9, 15, 10, 5)
+    assert mark(collector) == datetime(2027, 4, 21, 10, 5)
 
 
 def test_short_download_blocks(spark, collector, org):
@@ -126,7 +126,7 @@ def test_quarantine_after_three_polls(spark, collector, org):
     for attempt in (1, 2):
         outcome = {r.file_id: r for r in org.poll(spark, collector).collect()}
         assert outcome["B"].failed and outcome["B"].attempts == attempt
-        assert mark(collector) == datetime(2026, 9, 15, 10, 1)
+        assert mark(collector) == datetime(2027, 4, 21, 10, 1)
     outcome = {r.file_id: r.action for r in org.poll(spark, collector).collect()}
     assert outcome == {"B": "quarantine", "C": "archive"}
     lines = read_archive(spark, collector.root).where(F.col("part_unit") == "elf-B-quarantine").collect()
@@ -135,7 +135,7 @@ def test_quarantine_after_three_polls(spark, collector, org):
     assert "".join(p["rawLine"] for p in payloads) == bad
     assert payloads[0]["quarantined"] is True
     assert payloads[0]["quarantineReason"] == "malformed CSV at line 3: wrong number of fields"
-    assert mark(collector) == datetime(2026, 9, 15, 10, 3)
+    assert mark(collector) == datetime(2027, 4, 21, 10, 3)
     assert collector.state.attempts("main", MALFORMED).count() == 0
     manifests = read_manifests(spark, collector.root).select("manifest.*").collect()
     assert {m.lineage.get("attempts") for m in manifests if "quarantineReason" in m.lineage} == {"3"}
@@ -152,16 +152,16 @@ def test_tombstone_for_a_lost_file(spark, collector, org):
     spec = LogFileSpec(unavailable_attempts=3)
     for _ in range(2):
         org.poll(spark, collector, spec=spec, fetches=fetches(spark, 404))
-        assert mark(collector) == datetime(2026, 9, 15, 10, 0)
+        assert mark(collector) == datetime(2027, 4, 21, 10, 0)
     org.poll(spark, collector, spec=spec, fetches=fetches(spark, 404))
-    assert mark(collector) == datetime(2026, 9, 15, 10, 2)
+    assert mark(collector) == datetime(2027, 4, 21, 10, 2)
     rows = {r.part_unit: r for r in read_archive(spark, collector.root).collect()}
     assert set(rows) == {"elf-A", "elf-B-unavailable", "elf-C"}
     stone = rows["elf-B-unavailable"]
     assert json.loads(stone.payload) == {
         "unavailable": True, "eventLogFileId": "B", "unavailableReason": "Error 404, body: gone", "attempts": 3,
     }
-    assert stone.timestamp == datetime(2026, 9, 15, 10, 1)
+    assert stone.timestamp == datetime(2027, 4, 21, 10, 1)
 
 
 def test_transient_failures_never_leave_a_tombstone(spark, collector, org):
@@ -187,7 +187,7 @@ def land(path: Path, rows, done=True, total=None, name="page1"):
 def audit(i, minute=0, **more):
     return {
         "attributes": {"type": "AuditTrail", "url": f"/a/{i}"}, "Id": f"id{i}",
-        "CreatedDate": f"2026-09-15T11:{minute:02d}:00.000+0000", "BigNumber": 9007199254740993 + i, **more,
+        "CreatedDate": f"2027-04-21T11:{minute:02d}:00.000+0000", "BigNumber": 9007199254740993 + i, **more,
     }
 
 
@@ -201,10 +201,10 @@ def test_overlapping_polls(spark, collector, tmp_path):
     counts = [m.recordCount for m in read_manifests(spark, small.root).select("manifest.*").collect()]
     assert max(counts) <= 4 and sum(counts) == 16
     rows = {r.event_id: r for r in read_archive(spark, small.root).collect()}
-    row = rows["id3@2026-09-15T11:03:00.000+0000"]
+    row = rows["id3@2027-04-21T11:03:00.000+0000"]
     assert row.event_type == "AuditTrail"
     assert "attributes" not in row.payload and '"BigNumber": 9007199254740996' in row.payload
-    assert row.timestamp == datetime(2026, 9, 15, 11, 3)
+    assert row.timestamp == datetime(2027, 4, 21, 11, 3)
     assert verify_archive(spark, small.root, strict=True).report().head().ok
 
 
@@ -218,18 +218,18 @@ def test_changed_rows_are_new_versions(spark, collector, tmp_path):
 
 def test_rows_without_id_are_all_kept(spark, collector, tmp_path):
     pages = tmp_path / "rows"
-    row = {"CreatedDate": "2026-09-15T11:00:00.000+0000", "V": 1.10}
+    row = {"CreatedDate": "2027-04-21T11:00:00.000+0000", "V": 1.10}
     land(pages, [row, row, audit(1), audit(1)])
     poll_query(spark, collector, SPEC, str(pages), NOW)
     rows = read_archive(spark, collector.root).collect()
-    assert sorted(r.event_id for r in rows) == ["", "", "id1@2026-09-15T11:00:00.000+0000"]
+    assert sorted(r.event_id for r in rows) == ["", "", "id1@2027-04-21T11:00:00.000+0000"]
     assert {r.event_type for r in rows if r.event_id == ""} == {"Audit"}
 
 
 def test_composite_ids(spark, collector, tmp_path):
     pages = tmp_path / "rows"
     spec = QuerySpec("Audit", ["A", "B", "CreatedDate"], "CreatedDate", custom_id=["A", "B"])
-    base = {"CreatedDate": "2026-09-15T11:00:00.000+0000"}
+    base = {"CreatedDate": "2027-04-21T11:00:00.000+0000"}
     land(pages, [{"A": "ab", "B": "c", **base}, {"A": "a", "B": "bc", **base}, {"A": "a", **base}])
     for _ in range(2):
         poll_query(spark, collector, spec, str(pages), NOW)
@@ -259,11 +259,11 @@ def test_rows_are_taken_when_they_finish(spark, collector, tmp_path):
     pages = tmp_path / "rows"
     spec = QuerySpec("Job", ["Id", "CreatedDate", "CompletedDate"], "CreatedDate", end_timestamp="CompletedDate")
     job = lambda i, end: {"Id": f"j{i}", "CreatedDate": "2026-09-10T00:00:00.000+0000", "CompletedDate": end}
-    done = "2026-09-15T11:30:00.000+0000"
+    done = "2027-04-21T11:30:00.000+0000"
     land(pages, [job(i, done if i < 3 else None) for i in range(5)])
     poll_query(spark, collector, spec, str(pages), NOW)
     assert read_archive(spark, collector.root).count() == 3
-    land(pages, [job(i, done if i < 3 else "2026-09-15T12:30:00.000+0000") for i in range(5)])
+    land(pages, [job(i, done if i < 3 else "2027-04-21T12:30:00.000+0000") for i in range(5)])
     for _ in range(2):
         poll_query(spark, collector, spec, str(pages), NOW + timedelta(hours=1))
     ids = [r.event_id for r in read_archive(spark, collector.root).collect()]
@@ -310,8 +310,8 @@ def test_limits(spark, collector, tmp_path):
     poll_limits(spark, collector, str(path), NOW, names=["A", "C", "Nobody"])
     rows = {r.event_id: json.loads(r.payload) for r in read_archive(spark, collector.root).collect()}
     assert rows == {
-        "A@2026-09-15T12:00:00Z": {"limitName": "A", "limitMax": 5, "limitRemaining": 3},
-        "C@2026-09-15T12:00:00Z": {"limitName": "C", "limitMax": 1, "limitRemaining": 0},
+        "A@2027-04-21T12:00:00Z": {"limitName": "A", "limitMax": 5, "limitRemaining": 3},
+        "C@2027-04-21T12:00:00Z": {"limitName": "C", "limitMax": 1, "limitRemaining": 0},
     }
     assert read_manifests(spark, collector.root).count() == 1
 
