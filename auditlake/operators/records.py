@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlake.functions.times import ts_lit
+from auditlake.operators.filters import partition_filter
 
 
 # What makes two stored rows the same event: an id means nothing outside its source and org.
@@ -69,7 +70,12 @@ def advance_watermark(
     return good_prefix(outcomes, created, tie, failed).agg(value.alias("watermark"))
 
 
-def timeline(df: DataFrame, day: datetime, user: str, user_field: Column, time: str = "timestamp") -> DataFrame:
-    """Everything one user did on one day, in order."""
-    start, end = ts_lit(day), ts_lit(day + timedelta(days=1))
-    return df.where((F.col(time) >= start) & (F.col(time) < end) & (user_field == user)).orderBy(time)
+def timeline(
+    df: DataFrame, day: datetime, user: str, user_field: Column, time: str = "timestamp", slack_hours: int = 24
+) -> DataFrame:
+    """Everything one user did on one day, in order. Where the rows have the archive's partition
+    keys, only the hours in which the day's events can have arrived are read."""
+    end = day + timedelta(days=1)
+    if "part_hour" in df.columns:
+        df = partition_filter(df, day, end, slack_hours, time)
+    return df.where((F.col(time) >= ts_lit(day)) & (F.col(time) < ts_lit(end)) & (user_field == user)).orderBy(time)

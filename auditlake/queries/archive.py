@@ -43,9 +43,11 @@ RFC3339 = "regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0+$', '') |
 
 
 def stored_events(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Root of a fresh archive that holds all test events."""
+    """Root of a fresh archive that holds all test events, each arrived on the noon that follows it."""
     root = workspace(spark, name)
-    write_archive(event_records(events(spark, sf_dir)), root)
+    noon = F.date_trunc("day", "timestamp") + F.make_dt_interval(hours=F.lit(12))
+    arrived = F.when(F.col("timestamp") < noon, noon).otherwise(noon + F.make_dt_interval(days=F.lit(1)))
+    write_archive(event_records(events(spark, sf_dir)).withColumn("partition_time", arrived), root)
     return root
 
 
@@ -192,7 +194,7 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures by user on one day: archive, read back, prune, filter, count."""
     rows = read_archive(spark, stored_events(spark, sf_dir, "failures"))
-    day = partition_filter(rows, datetime(2024, 1, 15), datetime(2024, 1, 16), slack_hours=24 * 31)
+    day = partition_filter(rows, datetime(2024, 1, 15), datetime(2024, 1, 16))
     fields = payload_map(F.col("payload"))
     return top_values(day, fields["USER_ID"], "USER_ID", fields["LOGIN_STATUS"] == "error")
 

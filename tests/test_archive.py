@@ -287,3 +287,22 @@ def test_worker_functions_travel_without_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert done.stdout.strip() == "_split_objects", done.stderr
+
+
+def test_a_day_reads_the_hours_around_it_only(spark, root):
+    from auditlake.operators.filters import partition_filter
+    from auditlake.operators.records import timeline
+    from auditlake.sources.archive import read_archive
+
+    days = [records(spark, 2, unit=f"d{d}", prefix=f"d{d}-") for d in range(8)]
+    for d, df in enumerate(days):
+        at = F.lit(datetime(2027, 5, 1 + d, 6)).cast("timestamp")
+        write_archive(df.withColumn("partition_time", at).withColumn("timestamp", at), root)
+    day = partition_filter(read_archive(spark, root), datetime(2027, 5, 4), datetime(2027, 5, 5))
+    assert len(day.select("object_key").distinct().collect()) == 1
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(k in filters for k in ("year", "month", "day", "hour"))
+    assert day.count() == 2
+    user = timeline(read_archive(spark, root), datetime(2027, 5, 4), "x", F.lit("x"))
+    assert user.count() == 2
