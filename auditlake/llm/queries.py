@@ -221,6 +221,34 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE t AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n FROM t),
+    runs AS (
+        SELECT doc_id, pos, n, word || coalesce(' ' || lead(word) OVER p, '') || coalesce(' ' || lead(word, 2) OVER p, '')
+               || coalesce(' ' || lead(word, 3) OVER p, '') || coalesce(' ' || lead(word, 4) OVER p, '') AS shingle
+        FROM words WINDOW p AS (PARTITION BY doc_id ORDER BY pos)),
+    e AS (SELECT DISTINCT doc_id, shingle FROM runs WHERE pos <= greatest(1, n - 4)),
+    s AS (SELECT doc_id, coalesce(g, []) AS g FROM documents LEFT JOIN
+              (SELECT doc_id, list(shingle ORDER BY shingle) AS g FROM e GROUP BY doc_id) USING (doc_id)),
+    pairs AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+        FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+    linked AS (
+        SELECT a, b FROM pairs JOIN s x ON a = x.doc_id JOIN s y ON b = y.doc_id
+        WHERE 10 * shared >= 8 * (len(x.g) + len(y.g) - shared)),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a),
+    classes AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a),
+    numbers AS (SELECT a, count(*) AS links FROM linked GROUP BY a)
+    SELECT s.doc_id, class_id, coalesce(links, 0) AS links,
+           CASE WHEN len(g) = 0 THEN 1 ELSE count(*) OVER (PARTITION BY g) END AS copies
+    FROM s JOIN classes c ON s.doc_id = c.a LEFT JOIN numbers n ON s.doc_id = n.a
+    """
+)
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
