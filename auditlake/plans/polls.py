@@ -53,10 +53,11 @@ from auditlake.operators.filters import (
     ROW_LIMIT,
     event_types_in,
     hourly_only,
+    finished_in_window,
     in_window,
     is_permanent,
 )
-from auditlake.operators.records import good_prefix
+from auditlake.operators.records import advance_watermark, good_prefix
 from auditlake.schemas import EVENTLOG, LIMITS, RECORD_COLUMNS, SOQL
 from auditlake.session import stage
 from auditlake.sinks.archive import (
@@ -83,6 +84,8 @@ from auditlake.state import LOG_FILES, MALFORMED, QUERY, UNAVAILABLE, State
 # Failed polls before a file is set aside.
 MALFORMED_ATTEMPTS = 3
 UNAVAILABLE_ATTEMPTS = 5
+# A log file is one unit; its objects stay far below what one read can take.
+LOG_RECORDS_PER_OBJECT = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -378,7 +381,7 @@ def _archive_files(
         collector.as_records(records, EVENTLOG),
         collector.root,
         meta=collector.as_meta(meta, EVENTLOG),
-        records_per_object=2**31 - 1,
+        records_per_object=LOG_RECORDS_PER_OBJECT,
     )
 
 
@@ -401,11 +404,10 @@ def _advance_files(collector: Collector, listed: DataFrame, outcomes: DataFrame)
     """Watermark over listed files, archived earlier or now, before the first failure."""
     failed = outcomes.where(F.col("failed")).select(F.col("file_id").alias("Id"), F.lit(True).alias("f"))
     marked = listed.join(failed, "Id", "left").withColumn("failed", F.coalesce("f", F.lit(False)))
-    newest = good_prefix(marked).agg(F.max("created").alias("t")).head().t
     current = collector.state.watermark(collector.instance, LOG_FILES)
-    candidates = [utc(t) for t in (newest, current) if t]
-    if candidates and max(candidates) != (utc(current) if current else None):
-        collector.state.set_watermark(collector.instance, LOG_FILES, "", max(candidates))
+    moved = advance_watermark(marked, ts_lit(current) if current else None).head().watermark
+    if moved and (not current or utc(moved) != utc(current)):
+        collector.state.set_watermark(collector.instance, LOG_FILES, "", utc(moved))
 
 
 # --- query results --------------------------------------------------------------------
@@ -472,9 +474,12 @@ def query_records(rows: DataFrame, spec: QuerySpec, instance: Column, fingerprin
 
 def rows_in_window(rows: DataFrame, spec: QuerySpec, since: datetime, until: datetime) -> DataFrame:
     """Window on the time field, or on the end field alone where one is given."""
-    name = spec.end_timestamp or spec.timestamp
-    value = F.get_json_object("row_json", f"$.{name}")
-    return in_window(rows, parse_api_date(value), since, until)
+    def value(name: str) -> Column:
+        return parse_api_date(F.get_json_object("row_json", f"$.{name}"))
+
+    if spec.end_timestamp:
+        return finished_in_window(rows, value(spec.end_timestamp), since, until)
+    return in_window(rows, value(spec.timestamp), since, until)
 
 
 def new_versions(records: DataFrame, markers: DataFrame) -> DataFrame:

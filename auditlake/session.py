@@ -87,13 +87,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def drop(df: DataFrame) -> None:
-    """Delete the folder of a staged frame that nothing reads any more."""
-    spark = df.sparkSession
-    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
-        if "/auditlake/" in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def trim_files(spark: SparkSession, folder: str, keep: int) -> None:
+    """Delete all but the newest data files of a folder in which each replaces those before it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = [f for f in store.listStatus(path) if f.getPath().getName().startswith("part-")]
+    for f in sorted(files, key=lambda f: f.getModificationTime())[: max(0, len(files) - keep)]:
+        store.delete(f.getPath(), False)
 
 
 def child_names(spark: SparkSession, folder: str) -> list[str]:

@@ -13,13 +13,16 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.functions.times import ts_lit, watermark_time
+from auditlake.functions.times import ts_lit, utc, watermark_time
 from auditlake.schemas import ATTEMPTS, MARKERS, WATERMARKS
-from auditlake.session import path_exists
+from auditlake.session import child_names, delete_path, path_exists, trim_files
 
 # Fixed value: how long de-duplication markers live.
 MARKER_TTL = timedelta(days=7)
 
+# Versions of a watermark that are kept; only the newest counts, readers may hold an older listing.
+VERSIONS_KEPT = 20
+
 LOG_FILES = "log_files"
 QUERY = "query"
 MALFORMED = "malformed"
@@ -68,6 +71,7 @@ class State:
             millis.cast("string").alias("value"), F.lit(last + 1).cast("bigint").alias("version"),
         )
         row.coalesce(1).write.mode("append").parquet(path)
+        trim_files(self.spark, path, VERSIONS_KEPT)
 
     def reset(
         self, instance: str, known: Sequence[str], keys: Sequence[str] | str, confirm: bool, kind: str = QUERY
@@ -123,9 +127,17 @@ class State:
             F.lit(instance).alias("instance"), F.lit(kind).alias("kind"), F.lit(scope).alias("scope"),
             "key", ts_lit(now).alias("marked_at"), F.to_date(ts_lit(now)).alias("marked_day"),
         )
-        rows.write.mode("append").partitionBy("marked_day").parquet(
-            self.path("markers", instance, kind, scope)
-        )
+        path = self.path("markers", instance, kind, scope)
+        rows.write.mode("append").partitionBy("marked_day").parquet(path)
+        self.drop_expired(path, now)
+
+    def drop_expired(self, path: str, now: datetime, ttl: timedelta = MARKER_TTL) -> None:
+        """Delete the days whose markers have all expired; one day more is kept for readers."""
+        last = utc(now) - ttl - timedelta(days=1)
+        for name in child_names(self.spark, path):
+            day = name.removeprefix("marked_day=")
+            if day != name and day < f"{last:%Y-%m-%d}":
+                delete_path(self.spark, f"{path}/{name}")
 
     # --- attempts -----------------------------------------------------------------------
 

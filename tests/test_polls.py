@@ -362,3 +362,42 @@ def test_reset_needs_known_keys_and_confirmation(spark, tmp_path):
     assert [r.previous for r in prior.collect()] == [str(int((NOW - datetime(1970, 1, 1)) / timedelta(milliseconds=1)))]
     assert state.watermark("main", QUERY, "a") is None
     assert state.watermark("main", QUERY, "b") is not None
+
+
+def test_state_stays_small(spark, tmp_path):
+    import glob
+    from datetime import timedelta
+
+    from auditlake.state import VERSIONS_KEPT
+
+    state, day = State(spark, str(tmp_path / "state")), datetime(2027, 4, 1)
+    for i in range(VERSIONS_KEPT + 5):
+        state.set_watermark("main", QUERY, "q", day + timedelta(minutes=i))
+    assert state.watermark("main", QUERY, "q") == day + timedelta(minutes=VERSIONS_KEPT + 4)
+    assert len(glob.glob(f"{tmp_path}/state/watermarks/**/part-*", recursive=True)) == VERSIONS_KEPT
+    key = spark.createDataFrame([("k",)], "key string")
+    for i in range(0, 20, 4):
+        state.mark(key, "main", QUERY, "q", day + timedelta(days=i))
+    assert len(glob.glob(f"{tmp_path}/state/markers/**/marked_day=*", recursive=True)) == 3
+    assert state.markers("main", QUERY, "q", day + timedelta(days=16)).count() == 2
+
+
+def test_working_folder_without_any_setting(monkeypatch, tmp_path):
+    """A plain local session, with no configuration folder, has a working folder."""
+    import subprocess
+    import sys
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from auditlake.session import build, stage, workspace\n"
+        "spark = build('bare', '1', '1g', 1)\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "assert workspace(spark, 'x').rpartition('/')[0] == workspace(spark, 'y').rpartition('/')[0]\n"
+        "print(stage(spark.range(3), 'z').count())\n"
+    )
+    import os
+
+    (tmp_path / "conf").mkdir()
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": os.pathsep.join(sys.path)}
+    got = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert got.stdout.strip() == "3", got.stderr[-2000:]
