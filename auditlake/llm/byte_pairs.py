@@ -10,7 +10,7 @@ from functools import lru_cache
 import tiktoken
 
 # Words whose ids are remembered in each Python worker; the memory is emptied when full.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 # White space before a space: there a word alone may be cut differently than in its text.
 _JOINED = re.compile(r"\s ")
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +60,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def token_lists(column) -> list[list[bytes]]:
     """Words of each text: A-Z lower-cased, cut at ASCII white space; none for null."""
     return [t.encode().lower().split() if t else [] for t in column.to_pylist()]
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Parts of Arrow batches, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

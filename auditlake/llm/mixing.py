@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import stage, without
+from auditlake.llm.common import slices, stage
 
 # Of a source's keys; only the rows of the bin in which its budget ends are sorted.
 BINS = 1 << 12
@@ -23,7 +23,7 @@ def measured(docs: DataFrame, text: str, *keep: Column) -> DataFrame:
     """``keep``, ``size`` (words) and ``quality`` (its share of different words, 0.05 at least)."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words = [t.encode().split() if t else [] for t in batch.column(0).to_pylist()]
             size = pa.array([len(w) for w in words], pa.int64())
             quality = pa.array(

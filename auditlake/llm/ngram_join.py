@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import stage
+from auditlake.llm.common import slices, stage
 from auditlake.llm.components import components
 from auditlake.llm.shingles import MinHash, set_key, shingle_sets
 
@@ -40,7 +40,7 @@ def sketches(docs: DataFrame, ident: str, text: str, words: int, trees: int, dep
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = MinHash(trees * depth)
         mixer = np.cumprod(np.full(depth, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
-        for batch in batches:
+        for batch in slices(batches):
             n, key, prefixes, signature = [], [], [], []
             for s in shingle_sets(batch.column(1).to_pylist(), words):
                 n.append(len(s))
@@ -76,7 +76,7 @@ def sets_of(docs: DataFrame, text: str, words: int, keys: DataFrame) -> DataFram
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(first))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = {}
             for s in shingle_sets(batch.column(0).to_pylist(), words):
                 if not len(s):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlake.llm.byte_pairs import encoder
-from auditlake.llm.common import stage
+from auditlake.llm.common import slices, stage
 
 SEQUENCE = 1024
 END_ID = 2
@@ -30,7 +30,7 @@ def cut(docs: DataFrame, ident: str, text: str, tokenizer: str, length: int = SE
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).ids
-        for batch in batches:
+        for batch in slices(batches):
             row, piece, start, size, crc, part = [], [], [], [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
                 data = encode(t or "") + end

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import stage, without
+from auditlake.llm.common import slices, stage, without
 
 FEATURES = 256
 RIDGE = 1e-3
@@ -57,7 +57,7 @@ def measured(docs: DataFrame, text: str, *keep: Column) -> DataFrame:
     """``keep`` and ``__s``, the statistics of each text as doubles in binary form."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = [np.array(statistics(t), "<f8").tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(got, pa.binary())], names=[*batch.schema.names[1:], "__s"]

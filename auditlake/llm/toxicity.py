@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import stage, without
+from auditlake.llm.common import slices, stage, without
 
 # Labelled rows of each class that the lexicon is learned from at most, those of the smallest hashes.
 CLASS_SAMPLE = 6000
@@ -68,7 +68,7 @@ def contexts(docs: DataFrame, form: int) -> DataFrame:
     """(word, left, toxic) of each text (``text``, ``toxic``): a word and the one before it, once."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 250):
             seen = set()
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = fold(text)[form].split()
