@@ -128,7 +128,7 @@ def read_event_stream(
 def read_kafka_topic(
     spark: SparkSession, servers: str, topic: str, start: str = EARLIEST, max_offsets: int = 100_000
 ) -> DataFrame:
-    """Kafka form of the scan; a position outside the retention stops the stream."""
+    """Kafka form of the scan, for `decode_topic`; a position outside the retention stops the stream."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -137,8 +137,23 @@ def read_kafka_topic(
         .option("failOnDataLoss", "true")
         .option("maxOffsetsPerTrigger", max_offsets)
         .load()
-        .withColumn("arrival", F.col("timestamp"))
-        .withColumn("arrival_order", F.struct("arrival", "partition", "offset"))
+    )
+
+
+def decode_topic(rows: DataFrame, schema: str) -> DataFrame:
+    """Rows of a broker's topic as the events that `event_records` takes.
+
+    ``value`` is JSON text of the given schema (`schema_name`, `payload`); one that does not fit
+    stops the stream. The position of an event is its partition and offset.
+    """
+    event = F.from_json(F.col("value").cast("string"), schema, {"mode": "FAILFAST"})
+    position = F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    return rows.select(
+        position.cast("binary").alias("replay_id"),
+        event["schema_name"].alias("schema_name"),
+        event["payload"].alias("payload"),
+        F.col("timestamp").alias("arrival"),
+        F.struct(F.col("timestamp").alias("arrival"), "partition", "offset").alias("arrival_order"),
     )
 
 

@@ -19,7 +19,9 @@ from auditlake.streaming.topics import (
     NoCheckpointError,
     Topic,
     archive_stream,
+    decode_topic,
     dedup_stream,
+    event_records,
     read_event_stream,
     run_topics,
     start_position,
@@ -279,3 +281,15 @@ def test_stream_dedup(spark, tmp_path):
     assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
     totals = [s["numRowsTotal"] for s in states]
     assert totals[-1] < max(totals)
+
+
+def test_broker_rows_become_records(spark):
+    good = json.dumps({"schema_name": "org.Login", "payload": {"EventUuid": "u1", "EventDate": 1789434123004, "Score": 1.5}})
+    rows = spark.createDataFrame([(good, 3, 41, datetime(2027, 5, 1, 6))], "value string, partition int, offset long, timestamp timestamp")
+    schema = SCHEMA.partition(", ")[2]
+    row = event_records(decode_topic(rows, schema), TOPIC, "unit").head()
+    assert (row.event_id, row.event_type, row.partition_time) == ("u1", "Login", datetime(2027, 5, 1, 6))
+    assert row.replay_id == "Mzo0MQ==" and json.loads(row.payload_json)["Score"] == 1.5
+    bad = rows.withColumn("value", F.lit("{oops"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|Malformed"):
+        event_records(decode_topic(bad, schema), TOPIC, "unit").collect()
