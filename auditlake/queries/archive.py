@@ -42,12 +42,15 @@ TS6 = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
 RFC3339 = "regexp_replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0+$', '') || 'Z'"
 
 
-def stored_events(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Root of a fresh archive that holds all test events, each arrived on the noon that follows it."""
-    root = workspace(spark, name)
-    noon = F.date_trunc("day", "timestamp") + F.make_dt_interval(hours=F.lit(12))
-    arrived = F.when(F.col("timestamp") < noon, noon).otherwise(noon + F.make_dt_interval(days=F.lit(1)))
-    write_archive(event_records(events(spark, sf_dir)).withColumn("partition_time", arrived), root)
+def stored_events(spark: SparkSession, sf_dir: str, name: str, by_noon: bool = False) -> str:
+    """Root of a fresh archive that holds all test events; ``by_noon``: each arrived on the noon that
+    follows it, else all in one hour."""
+    root, records = workspace(spark, name), event_records(events(spark, sf_dir))
+    if by_noon:
+        noon = F.date_trunc("day", "timestamp") + F.make_dt_interval(hours=F.lit(12))
+        next_noon = noon + F.make_dt_interval(days=F.lit(1))
+        records = records.withColumn("partition_time", F.when(F.col("timestamp") < noon, noon).otherwise(next_noon))
+    write_archive(records, root)
     return root
 
 
@@ -193,7 +196,7 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY user_id""")
 def top_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures by user on one day: archive, read back, prune, filter, count."""
-    rows = read_archive(spark, stored_events(spark, sf_dir, "failures"))
+    rows = read_archive(spark, stored_events(spark, sf_dir, "failures", by_noon=True))
     day = partition_filter(rows, datetime(2024, 1, 15), datetime(2024, 1, 16))
     fields = payload_map(F.col("payload"))
     return top_values(day, fields["USER_ID"], "USER_ID", fields["LOGIN_STATUS"] == "error")
@@ -204,7 +207,7 @@ def top_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events
     WHERE user_id = 8 AND ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-03'""")
 def user_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_archive(spark, stored_events(spark, sf_dir, "timeline"))
+    rows = read_archive(spark, stored_events(spark, sf_dir, "timeline", by_noon=True))
     fields = payload_map(F.col("payload"))
     return timeline(rows, datetime(2024, 1, 2), "8", fields["USER_ID"]).select(
         text6(F.col("timestamp")).alias("ts"), "event_type", "event_id",
