@@ -83,6 +83,7 @@ def mix(
     weights: Sequence[float] = WEIGHTS,
     most: int = MOST,
     seed: str = "mix",
+    draw: str | None = None,
 ) -> DataFrame:
     """(<ident>, source, size, source_size, target, times, taken) for each row of ``docs``.
 
@@ -90,7 +91,8 @@ def mix(
     epochs). What is left of the target goes to its documents in order of their keys, whole, as
     long as the sum of sizes stays within; the next document is taken too if that brings the sum
     nearer to the target. ``times`` is how often a document is taken and ``taken`` its words so
-    taken. No document is taken more than ``most`` times.
+    taken. No document is taken more than ``most`` times. Keys are drawn from the column ``draw``, the
+    id if it is not named.
 
     Sizes are words; null texts have none. Null sources are one source, the last. Equal keys of
     repeated rows are ordered by size, then in any order. A source without words has target 0.
@@ -99,8 +101,9 @@ def mix(
     Sizes are summed in bins of the keys, so that of a source only the rows of one bin in 4096
     are sorted, whatever the source's share of all rows.
     """
-    rows = measured(docs, text, F.col(ident).alias("ident"), F.col(source).alias("source"))
-    rows = stage(rows.withColumn("key", draw_key(F.col("ident"), F.col("quality"), seed)), "mix-sizes")
+    names = F.col(ident).alias("ident"), F.col(source).alias("source"), F.col(draw or ident).alias("draw")
+    rows = measured(docs, text, *names)
+    rows = stage(rows.withColumn("key", draw_key(F.col("draw"), F.col("quality"), seed)).drop("draw"), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = (
         targets(sizes, weights, most)
