@@ -30,18 +30,20 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that n-gram similarity links, the first as numbered here; ids may
-    be null or repeated, so rows get numbers of their own."""
+    """The document with the smallest id of each group that n-gram similarity links; ids may be null
+    or repeated, so rows get numbers of their own."""
     numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    marked = ngram_join.similar_documents(numbered, "__row", "text")
-    extra = marked.where(F.col("class_id") != F.col("__row")).select("__row")
+    marked = ngram_join.similar_documents(numbered, "__row", "text").where("links > 0").select("__row", "class_id")
+    linked = stage(numbered.select("__row", "doc_id").join(marked, "__row"), "linked")
+    first = linked.groupBy("class_id").agg(F.min(F.struct("doc_id", "__row")).alias("first"))
+    extra = linked.join(first, "class_id").where(F.col("first.__row") != F.col("__row")).select("__row")
     return numbered.join(extra, "__row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for, or not at all."""
     numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    mixed = mixing.mix(numbered, "__row", "source", "text").where("times > 0").select("__row", "times")
+    mixed = mixing.mix(numbered, "__row", "source", "text", draw="doc_id").where("times > 0").select("__row", "times")
     taken = numbered.join(mixed, "__row").withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return taken.select(docs.columns)
 
