@@ -82,9 +82,10 @@ def contexts(docs: DataFrame, form: int) -> DataFrame:
     return docs.select("text", "toxic").mapInArrow(pairs, "word string, left string, toxic int")
 
 
-def learn(docs: DataFrame, form: int) -> tuple[dict[str, float], set[str]]:
+def learn(docs: DataFrame, form: int, share: float = 1.0) -> tuple[dict[str, float], set[str]]:
     """Lexicon (pattern: weight) and exception phrases from (``text``, ``toxic``), in one of the two
-    forms that ``fold`` gives.
+    forms that ``fold`` gives. Where ``docs`` is a sample, another text stands for ``share`` times as
+    many as a toxic one.
 
     A term counts once for each different word before it, so that copies of a text give its words
     no weight. Patterns are whole words (`` word ``) or beginnings (`` stem``). A phrase of a
@@ -100,7 +101,7 @@ def learn(docs: DataFrame, form: int) -> tuple[dict[str, float], set[str]]:
 
     def strong(terms: DataFrame) -> dict[str, float]:
         terms = terms.withColumn("w", weight).where(
-            (F.col("p") >= LEAST_CONTEXTS) & (F.col("p") >= LEAST_RATIO * F.col("n")) & (F.col("w") >= LEAST_WEIGHT)
+            (F.col("p") >= LEAST_CONTEXTS) & (F.col("p") >= LEAST_RATIO * share * F.col("n")) & (F.col("w") >= LEAST_WEIGHT)
         )
         rows = terms.orderBy(F.desc(F.col("w") * F.log1p("p")), "term").limit(LEXICON_SIZE).collect()
         return {r.term: r.w for r in rows}
@@ -199,7 +200,8 @@ def score(
 
     ``labels`` has ids and 0/1; ids with a null label or where ``train`` (of ``label_ident``) does
     not hold are not learned from, and an id with several labels has their largest. Of each
-    class ``CLASS_SAMPLE`` rows at most are learned from; every text is scored as a whole.
+    class ``CLASS_SAMPLE`` rows at most are learned from, each with the weight of all labels it stands
+    for, so that a score means the same at every size; every text is scored as a whole.
     Null and empty texts have weight 0. Without labels of a class the lexicon is empty and the score is
     0. Repeated rows are scored each; a column ``score`` of ``docs`` is replaced.
     """
@@ -207,6 +209,8 @@ def score(
     known = labels.where(train if train is not None else F.lit(True))
     known = known.select(F.col(label_ident).alias("__id"), F.col(label).cast("int").alias("toxic"))
     known = known.where("__id is not null and toxic in (0, 1)").groupBy("__id").agg(F.max("toxic").alias("toxic"))
+    totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    stands_for = {t: max(1.0, totals.get(t, 0) / CLASS_SAMPLE) for t in (0, 1)}
     # Small by CLASS_SAMPLE: two ordered limits, then a join that finds their texts.
     picked = [
         known.where(F.col("toxic") == t).orderBy(F.xxhash64("__id"), "__id").limit(CLASS_SAMPLE) for t in (0, 1)
@@ -218,12 +222,13 @@ def score(
         return docs.withColumn("score", F.lit(0.0))
     lexica = []
     for form in (0, 1):
-        lexicon, learned = learn(sample, form)
+        lexicon, learned = learn(sample, form, stands_for[0] / stands_for[1])
         lexica.append((lexicon, sorted(learned | {fold(e)[form] for e in exceptions})))
     steps = weighed(sample, "text", lexica).groupBy(F.round("__x", 2).alias("x")).agg(
         F.count("*").alias("n"), F.sum("toxic").alias("positive")
     )
     # A row for each hundredth of a logarithm at most.
     at = steps.toPandas().astype(np.float64)
-    a, b = logistic(at["x"].to_numpy(), at["n"].to_numpy(), at["positive"].to_numpy())
+    positive = stands_for[1] * at["positive"].to_numpy()
+    a, b = logistic(at["x"].to_numpy(), positive + stands_for[0] * (at["n"] - at["positive"]).to_numpy(), positive)
     return weighed(docs, text, lexica).withColumn("score", 1 / (1 + F.exp(-(a + b * F.col("__x"))))).drop("__x")

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import documents, empty, texts
+from helpers import documents, empty, texts, words
 from pyspark.sql import functions as F
 
 from auditlake.llm import quality, toxicity
@@ -140,6 +140,31 @@ def test_held_out(spark, model):
         assert got["some text with a bl0rg0 in it"] > 0.3 > got["some text with nothing in it"]
 
 
+def test_toxicity_means_the_same_in_a_sample(spark, monkeypatch):
+    # 60 of 600 are labelled toxic, and half of these have nothing to be known by.
+    found = [t if i % 20 else " blorgo ".join(words(random.Random(i * 9 + k), 4) for k in range(5)) for i, t in enumerate(texts(17, 600))]
+    docs = documents(spark, found, odd=False)
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(600)], "doc_id long, label int")
+
+    def scores():
+        rows = toxicity.score(docs, "doc_id", "text", labels, "doc_id", "label").collect()
+        return {kind: {r.score for r in rows if ("blorgo" in r.text) == kind} for kind in (True, False)}
+
+    whole = scores()
+    monkeypatch.setattr(toxicity, "CLASS_SAMPLE", 40)
+    sampled = scores()
+    assert max(whole[False]) < 0.1 and max(sampled[False]) < 0.1
+    assert min(whole[True]) > 0.3 and min(sampled[True]) > 0.3
+
+
+def test_terms_of_a_sample_are_held_against_all_labels(spark):
+    spelled = ["".join("abcdefghij"[int(c)] for c in str(i)) for i in range(300)]
+    rows = [(f"n{w} frimpax", 1) for w in spelled] + [(f"r{w} s{w}", 0) for w in spelled] + [("d frimpax", 0)]
+    docs = spark.createDataFrame(rows, "text string, toxic int")
+    assert " frimpax " in toxicity.learn(docs, 0, 50.0)[0]
+    assert " frimpax " not in toxicity.learn(docs, 0, 150.0)[0]
+
+
 @pytest.mark.parametrize("model", [toxicity.score, quality.score])
 def test_without_labels(spark, model):
     docs, none = documents(spark, texts(1, 20)), spark.createDataFrame([], "doc_id long, label int")
