@@ -20,8 +20,8 @@ TREES, DEEPEST, RECALL = 20, 8, 0.9999
 ERRORS = 5
 # Rows of a bucket, and sets and shingles of a neighbourhood, that one task compares at once.
 BUCKET_ROWS, BLOCK_SETS, BLOCK_SHINGLES = 1024, 256, 1 << 20
-# Keys that are sent to the readers of the texts, to keep other sets out of the shuffle.
-KEYS_SENT = 8_000_000
+# Bits (as a power of 2, 15 at least) of the filter of keys that keeps other sets out of the shuffle: 16 MB.
+FILTER_BITS = 27
 
 
 def prefix_depth(similar: float = SIMILAR, trees: int = TREES, recall: float = RECALL) -> int:
@@ -68,12 +68,24 @@ def sketches(docs: DataFrame, ident: str, text: str, words: int, trees: int, dep
     return rows.mapInArrow(sketch, f"id {kind}, n int, key binary, prefixes array<long>, signature binary")
 
 
+def key_filter(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bit for each value of the first ``bits`` bits of a key, set if a key begins so.
+
+    Tasks put the bits together, in pieces of 4 KB; the driver gets these and never a key."""
+    cell = F.shiftrightunsigned(F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long"), 32 - bits)
+    # Dealt before they are put together, so that a piece is made once and not in each task.
+    cells = keys.select(F.shiftright(cell, 15).alias("piece"), cell.bitwiseAND((1 << 15) - 1).alias("bit"))
+    pieces = cells.repartition("piece").groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    found = np.zeros((1 << (bits - 15), 1 << 12), np.uint8)
+    for r in pieces.collect():
+        found[r.piece] = np.frombuffer(r.bits, np.uint8)
+    return found.reshape(-1)
+
+
 def sets_of(docs: DataFrame, text: str, words: int, keys: DataFrame) -> DataFrame:
     """(key, shingles): the sets with the given keys, once each."""
-    wanted = None
-    if keys.count() <= KEYS_SENT:
-        first = np.array([int.from_bytes(bytes(r.key[:8]), "little") for r in keys.select("key").collect()], np.uint64)
-        wanted = docs.sparkSession.sparkContext.broadcast(np.sort(first))
+    bits = FILTER_BITS
+    wanted = docs.sparkSession.sparkContext.broadcast(key_filter(keys, bits))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -82,12 +94,10 @@ def sets_of(docs: DataFrame, text: str, words: int, keys: DataFrame) -> DataFram
                 if not len(s):
                     continue
                 key = set_key(s)
-                if wanted is not None:
-                    start = np.frombuffer(key[:8], "<u8")[0]
-                    at = np.searchsorted(wanted.value, start)
-                    if at == len(wanted.value) or wanted.value[at] != start:
-                        continue
-                found[key] = s.astype("<u8").tobytes()
+                cell = int.from_bytes(key[:4], "big") >> (32 - bits)
+                # Other sets that begin as a key does go on; the join drops them.
+                if wanted.value[cell >> 3] >> (cell & 7) & 1:
+                    found[key] = s.astype("<u8").tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], names=["key", "shingles"]
             )

@@ -114,3 +114,17 @@ def test_depth_and_nothing(spark):
     depth = ngram_join.prefix_depth()
     assert 1 - (1 - 0.8**depth) ** 20 >= 0.9999 > 1 - (1 - 0.8 ** (depth + 1)) ** 20
     assert ngram_join.similar_documents(empty(spark), "doc_id", "text").collect() == []
+
+
+def test_no_set_key_reaches_the_driver(spark, monkeypatch):
+    frame, seen = type(spark.range(0)), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda df: [seen.append(r) or r for r in collect(df)])
+    rng = random.Random(4)
+    base = words(rng, 40)
+    docs = documents(spark, [base, f"{base} more", f"{base} and", *texts(5, 20)], odd=False)
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", 15, raising=False)
+    rows = collect(ngram_join.similar_documents(docs, "doc_id", "text"))
+    assert sorted((str(r.doc_id), r.links, str(r.class_id)) for r in rows) == linked(collect(docs))
+    assert not [v for r in seen for v in r if isinstance(v, (bytes, bytearray)) and len(v) == 16]
+    assert ngram_join.key_filter(spark.createDataFrame([(b"\x00\x03" + bytes(14),), (b"\xff" * 16,)], "key binary"), 16).nonzero()[0].tolist() == [0, 8191]
