@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by a forest of min-hash prefixes, with exact verification."""
+"""N-gram Jaccard join by bands of min-hashes, with exact verification."""
 
 from __future__ import annotations
 
@@ -25,8 +25,9 @@ FILTER_BITS = 27
 
 
 def prefix_depth(similar: float = SIMILAR, trees: int = TREES, recall: float = RECALL) -> int:
-    """How deep the tries are matched: prefixes are shortened from the deepest until a pair at the
-    threshold shares one in some tree with probability ``recall``."""
+    """Min-hashes in each band (tree): the most, up to the deepest, with which a pair at the threshold
+    shares some band with probability ``recall``. No data is looked at. Pairs that share more
+    hashes of a tree share these, so matching longer prefixes first would find the same pairs."""
     depth = DEEPEST
     while depth > 1 and 1 - (1 - similar**depth) ** trees < recall:
         depth -= 1
@@ -224,8 +225,8 @@ def similar_documents(
     texts and texts without words are linked with nothing and are their own class. Repeated rows are
     copies. Other columns are not looked at. An empty table gives no rows.
 
-    Rows with equal sets are one class from the start. Their signatures are put into ``trees`` tries;
-    prefixes are shortened until the recall is reached, and sets that share a prefix whose
+    Rows with equal sets are one class from the start. Their signatures are cut into ``trees`` bands of
+    the depth at which the recall is reached, and sets that share a band (prefix) and whose
     signatures allow a link are joined to neighbourhoods. In these the whole sets are compared
     exactly, in blocks: larger buckets and neighbourhoods are dealt over pairs of parts, counts and
     a spanning forest leave a block, never its pairs.
