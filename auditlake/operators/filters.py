@@ -120,19 +120,20 @@ def unsupported_manifests(manifests: DataFrame) -> DataFrame:
 
 
 def partition_filter(
-    df: DataFrame, since: datetime, until: datetime, slack_hours: int = 24, column: str = "timestamp"
+    df: DataFrame, since: datetime, until: datetime, slack_hours: int = 24, column: str = "timestamp", however_late: bool = False
 ) -> DataFrame:
     """Prune on the partition keys with slack, then filter on the event time.
 
     Streams and query rows are partitioned by arrival, so the partitions are cut
-    generously and the exact window is applied to the rows.
+    generously and the exact window is applied to the rows. Rows that arrived more than the slack
+    after the window are left out, unless ``however_late``.
     """
     stamp = F.concat_ws("-", "part_year", "part_month", "part_day", "part_hour")
     low, high = (
         F.date_format(ts_lit(b) + F.expr(f"INTERVAL {h} HOURS"), "yyyy-MM-dd-HH")
         for b, h in ((since, -slack_hours), (until, slack_hours))
     )
-    return df.where(stamp.between(low, high)).where(
+    return df.where(stamp >= low if however_late else stamp.between(low, high)).where(
         (F.col(column) >= ts_lit(since)) & (F.col(column) < ts_lit(until))
     )
 

@@ -71,11 +71,14 @@ def advance_watermark(
 
 
 def timeline(
-    df: DataFrame, day: datetime, user: str, user_field: Column, time: str = "timestamp", slack_hours: int = 24
+    df: DataFrame, day: datetime, user: str, user_field: Column, time: str = "timestamp", slack_hours: int | None = None
 ) -> DataFrame:
     """Everything one user did on one day, in order. Where the rows have the archive's partition
-    keys, only the hours in which the day's events can have arrived are read."""
+    keys, hours that lie more than a day before it are passed over. Events may arrive at any time
+    later, by a backfill or a late file; with ``slack_hours`` only those that arrived within so many hours
+    around the day are read."""
     end = day + timedelta(days=1)
     if "part_hour" in df.columns:
-        df = partition_filter(df, day, end, slack_hours, time)
+        late = slack_hours is None
+        df = partition_filter(df, day, end, 24 if late else slack_hours, time, however_late=late)
     return df.where((F.col(time) >= ts_lit(day)) & (F.col(time) < ts_lit(end)) & (user_field == user)).orderBy(time)

@@ -306,3 +306,16 @@ def test_a_day_reads_the_hours_around_it_only(spark, root):
     assert day.count() == 2
     user = timeline(read_archive(spark, root), datetime(2027, 5, 4), "x", F.lit("x"))
     assert user.count() == 2
+
+
+def test_a_timeline_has_events_that_arrived_late(spark, root):
+    from auditlake.operators.records import timeline
+    from auditlake.sources.archive import read_archive
+
+    happened = F.lit(datetime(2027, 5, 4, 6)).cast("timestamp")
+    for name, arrived in (("soon", datetime(2027, 5, 4, 7)), ("backfill", datetime(2027, 6, 20, 6))):
+        df = records(spark, 2, unit=name, prefix=f"{name}-").withColumn("timestamp", happened)
+        write_archive(df.withColumn("partition_time", F.lit(arrived).cast("timestamp")), root)
+    rows = read_archive(spark, root)
+    assert timeline(rows, datetime(2027, 5, 4), "x", F.lit("x")).count() == 4
+    assert timeline(rows, datetime(2027, 5, 4), "x", F.lit("x"), slack_hours=24).count() == 2
