@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from auditlake.llm.common import slices, stage
 
-# Of a source's keys; only the rows of the bin in which its budget ends are sorted.
-BINS = 1 << 12
+# Of each factor e of a source's keys; only the rows of the bin in which its budget ends are sorted.
+BINS = 1 << 10
 # A document's words count at most so often, and so do a source's.
 MOST = 3
 WEIGHTS = (5, 2, 1)
@@ -75,6 +75,12 @@ def draw_key(ident: Column, quality: Column, seed: str) -> Column:
     return -F.log((u.cast("double") + 0.5) / float(1 << 52)) / quality
 
 
+def key_bin(key: Column) -> Column:
+    """Bins of equal width in the key's logarithm: that of an exponential variate has a density of 1 / e at
+    most, whatever its weight, so a bin is expected to hold no more than 1 / (e * BINS) of a source's rows."""
+    return F.floor(F.log(key) * BINS).cast("int")
+
+
 def mix(
     docs: DataFrame,
     ident: str,
@@ -98,8 +104,9 @@ def mix(
     repeated rows are ordered by size, then in any order. A source without words has target 0.
     An empty table gives no rows.
 
-    Sizes are summed in bins of the keys, so that of a source only the rows of one bin in 4096
-    are sorted, whatever the source's share of all rows.
+    Sizes are summed in bins of the keys, so that of a source only the rows of one bin, about one row in
+    2700 at most, are sorted, whatever the source's share of all rows and its qualities. Rows of one
+    id have one key for each quality and share a bin.
     """
     names = F.col(ident).alias("ident"), F.col(source).alias("source"), F.col(draw or ident).alias("draw")
     rows = measured(docs, text, *names)
@@ -110,7 +117,7 @@ def mix(
         .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
         .withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
     )
-    rows = rows.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int"))
+    rows = rows.withColumn("bin", key_bin(F.col("key")))
     before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
         rows.groupBy("source", "bin").agg(F.sum("size").alias("n"))

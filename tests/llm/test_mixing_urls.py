@@ -7,6 +7,7 @@ import pytest
 from helpers import documents, empty, texts
 from pyspark.sql import functions as F
 
+from auditlake.llm import mixing
 from auditlake.llm.components import components
 from auditlake.llm.mixing import mix, targets
 from auditlake.llm.url_rules import RULES, judge_urls
@@ -131,3 +132,12 @@ def test_components(spark):
     rows = components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {r.node: r.root for r in rows} == {x: find(x) for x in root} and len(rows) == len(root)
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_no_bin_of_keys_is_large_for_low_quality(spark):
+    for quality in (0.05, 1.0):
+        keys = spark.range(20_000).select(mixing.draw_key(F.col("id"), F.lit(quality), "mix").alias("key"))
+        bins = keys.groupBy(mixing.key_bin(F.col("key")).alias("bin")).agg(F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("b"))
+        rows = bins.orderBy("bin").collect()
+        assert max(r.n for r in rows) < 40
+        assert all(x.b < y.a for x, y in zip(rows, rows[1:]))
