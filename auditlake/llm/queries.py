@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import exact_dedup, lattice_lm, mixing, multi_index, ngram_join, packing, quality, sharding, toxicity, url_rules
+from auditlake.llm import conversation_repair, exact_dedup, lattice_lm, mixing, multi_index, ngram_join, packing, quality, sharding, toxicity, url_rules
 from auditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -252,3 +252,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query()
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    hurt = conversation_repair.damage(rows, "conv_id", "turn", "role", "text")
+    return conversation_repair.repair(hurt, "conv_id", "turn", "role", "text").withColumnRenamed("conv", "conv_id")
