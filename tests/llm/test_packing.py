@@ -19,9 +19,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +37,29 @@ def test_ids_are_the_librarys(own, library, text):
     assert ids(own.ids(text)) == library.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "\n", "a", "ñ ", "  b"]), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_added_tokens_are_the_librarys(own, library, parts):
+    text = "".join(parts)
+    assert ids(own.ids(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+@given(
+    st.lists(st.tuples(st.sampled_from([" ", "\n", "\t", " \n", "\u2003", "\x1c"]), st.sampled_from(["", "a", " b", "<|endoftext|>", "."])), min_size=1, max_size=3),
+    st.sampled_from(["", "x", "x y"]),
+)
+@settings(max_examples=25, deadline=None)
+def test_long_runs_of_white_space_are_the_librarys(own, library, runs, head):
+    text = head + "".join(blank * 30_000 + word for blank, word in runs)
+    assert ids(own.ids(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t"])
+def test_a_million_blanks_are_encoded(own, library, blank):
+    for text in (blank * 1_000_000, f"a{blank * 1_000_000}b"):
+        assert ids(own.ids(text)) == library.encode(text, add_special_tokens=False).ids
+
+
 def best_fit_decreasing(counts, length):
     gaps, opened = [], 0
     for size in sorted((s for s, n in counts.items() for _ in range(n)), reverse=True):
