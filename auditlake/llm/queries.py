@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import conversation_repair, exact_dedup, lattice_lm, mixing, multi_index, ngram_join, packing, quality, sharding, toxicity, url_rules
+from auditlake.llm import conversation_repair, exact_dedup, lattice_lm, mixing, multi_index, ngram_join, packing, quality, sharding, slack_packing, toxicity, url_rules
 from auditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -259,3 +259,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     hurt = conversation_repair.damage(rows, "conv_id", "turn", "role", "text")
     return conversation_repair.repair(hurt, "conv_id", "turn", "role", "text").withColumnRenamed("conv", "conv_id")
+
+
+@query()
+def op12_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    packed = slack_packing.pack_documents(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.withColumnRenamed("id", "doc_id")
