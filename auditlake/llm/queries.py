@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import conversation_repair, exact_dedup, lattice_lm, mixing, multi_index, ngram_join, packing, quality, sharding, slack_packing, toxicity, url_rules
+from auditlake.llm import conversation_repair, exact_dedup, lattice_lm, mixing, multi_index, ngram_join, packing, quality, ranked_search, sharding, slack_packing, toxicity, url_rules
 from auditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -266,3 +266,32 @@ def op12_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     packed = slack_packing.pack_documents(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
     return packed.withColumnRenamed("id", "doc_id")
+
+
+@query(
+    r"""
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                    'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+    stats AS (SELECT count(*) FILTER (len(t) > 0) AS many, sum(len(t))::BIGINT AS total FROM docs),
+    tfs AS (SELECT doc_id, n, term, count(*) AS tf
+            FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM docs) GROUP BY ALL),
+    dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+    asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                                     'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+    scored AS (
+        SELECT item_id, doc_id, sum(floor(1000 * ln((2 * many + 2) / (2 * df + 1)))::BIGINT
+                   * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * many) // total))))::BIGINT AS score
+        FROM asked JOIN dfs USING (term) JOIN tfs USING (term), stats GROUP BY ALL)
+    SELECT item_id, rank::INT AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+          FROM scored WHERE score > 0) WHERE rank <= 10
+    """
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return ranked_search.rank(docs, "doc_id", "text", items, "item_id", "text")
