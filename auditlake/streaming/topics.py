@@ -32,6 +32,10 @@ LATEST = "LATEST"
 FLUSH_SECONDS = 60
 FILES_PER_TRIGGER = 1000
 DEDUP_DELAY = "7 days"
+# Kafka's number for records whose time is the one at which the broker stored them.
+LOG_APPEND = 1
+# A hundred years: no landed file is too old to be read.
+MAX_FILE_AGE = "36500d"
 
 
 class NoCheckpointError(RuntimeError):
@@ -55,30 +59,51 @@ def start_position(spark: SparkSession, checkpoint: str, initial: str | None) ->
     return initial
 
 
-CUT = "path string, arrival timestamp"
+# What tells one landed file from another: a path may be used again.
+LANDED = "path string, arrival timestamp, length bigint"
+
+
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """Every file below a landing folder; its content is not read."""
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_modification_time").alias("arrival"),
+            F.col("_metadata.file_size").alias("length"),
+        )
+    )
 
 
 def first_cut(spark: SparkSession, landing: str, checkpoint: str, start: str) -> DataFrame | None:
-    """Newest files that a start with LATEST passes over, or None where nothing is passed over.
+    """The files that a start with LATEST passes over, or None where nothing is passed over.
 
-    They are listed once, before the first batch, and kept beside the checkpoint: every
-    later start passes over the same files, whatever it is asked for, and no other. The times
-    are those of the store that holds the files, no clock of this machine.
+    All files that are there are listed once, before the first batch, and kept beside the
+    checkpoint: every later start passes over the same files, whatever it is asked for, and no
+    other. A file that is renamed into the folder later is not in the list, however old it is.
     """
     stored = f"{checkpoint.rstrip('/')}-latest"
-    if path_exists(spark, f"{stored}/_SUCCESS"):
-        return spark.read.schema(CUT).parquet(stored)
-    if start != LATEST or has_position(spark, checkpoint):
-        return None
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
-        .select("path", F.col("modificationTime").alias("arrival"))
-    )
-    newest = files.agg(F.max("arrival").alias("newest"))
-    files.join(F.broadcast(newest), F.col("arrival") == F.col("newest")).select("path", "arrival").write.mode(
-        "overwrite"
-    ).parquet(stored)
-    return spark.read.schema(CUT).parquet(stored)
+    if not path_exists(spark, f"{stored}/_SUCCESS"):
+        if start != LATEST or has_position(spark, checkpoint):
+            return None
+        landed_files(spark, landing).write.mode("overwrite").parquet(stored)
+    return spark.read.schema(LANDED).parquet(stored)
+
+
+def pass_over(stream: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of a stream that lie in none of the known files.
+
+    A file newer than all of them is none of them, so its rows go straight on; only rows of older
+    files, which are few after the first batch, are looked up.
+    """
+    newest = known.agg(F.max("arrival")).head()[0]
+    if newest is None:
+        return stream
+    later = F.col("arrival") > F.lit(newest)
+    own = F.col("arrival_order.file_path")
+    files = known.select("path", F.col("arrival").alias("seen"), "length")
+    same = (own == files["path"]) & (F.col("arrival") == files["seen"]) & (F.col("file_size") == files["length"])
+    return stream.where(later).unionByName(stream.where(~later).join(files, same, "left_anti"))
 
 
 def read_event_stream(
@@ -96,7 +121,8 @@ def read_event_stream(
     An event that does not fit the schema stops the stream. With LATEST the files present
     at the first start are passed over, and only these: see `first_cut`. ``checkpoint`` has
     to be the one the stream is run with. A batch takes up to ``max_files`` files, or files of
-    ``max_bytes`` in all.
+    ``max_bytes`` in all. Spark's file source passes over files that are much older than the
+    newest; here a file may have any age.
     """
     if start == LATEST and not checkpoint:
         raise ValueError("LATEST needs the checkpoint, to keep what was passed over")
@@ -105,6 +131,7 @@ def read_event_stream(
         .schema(schema)
         .option("maxBytesPerTrigger" if max_bytes else "maxFilesPerTrigger", max_bytes or max_files)
         .option("mode", "FAILFAST")
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(landing)
         .withColumn("arrival", F.col("_metadata.file_modification_time"))
         # Row order inside an arrival order is added per batch.
@@ -113,16 +140,10 @@ def read_event_stream(
             F.struct("arrival", "_metadata.file_path", "_metadata.file_block_start"),
         )
     )
-    cut = first_cut(spark, landing, checkpoint, start) if checkpoint else None
-    if cut is None:
-        return stream
-    # Files of one moment: those listed are old, others landed after the list was made.
-    old = cut.collect()
-    if not old:
+    known = first_cut(spark, landing, checkpoint, start) if checkpoint else None
+    if known is None:
         return stream
-    later = F.col("arrival") > F.lit(old[0].arrival)
-    known = F.col("arrival_order.file_path").isin([r.path for r in old])
-    return stream.where(later | ((F.col("arrival") == F.lit(old[0].arrival)) & ~known))
+    return pass_over(stream.withColumn("file_size", F.col("_metadata.file_size")), known).drop("file_size")
 
 
 def read_kafka_topic(
@@ -144,16 +165,22 @@ def decode_topic(rows: DataFrame, schema: str) -> DataFrame:
     """Rows of a broker's topic as the events that `event_records` takes.
 
     ``value`` is JSON text of the given schema (`schema_name`, `payload`); one that does not fit
-    stops the stream. The position of an event is its partition and offset.
+    stops the stream. The position of an event is its partition and offset. The record's time is kept as
+    `broker_time`. It is the arrival only where the broker set it (`timestampType` 1): a producer may
+    write any time, so else an event arrives when its batch begins, which a repeated batch keeps.
     """
     event = F.from_json(F.col("value").cast("string"), schema, {"mode": "FAILFAST"})
     position = F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    arrival = F.current_timestamp()
+    if "timestampType" in rows.columns:
+        arrival = F.when(F.col("timestampType") == LOG_APPEND, F.col("timestamp")).otherwise(arrival)
     return rows.select(
         position.cast("binary").alias("replay_id"),
         event["schema_name"].alias("schema_name"),
         event["payload"].alias("payload"),
-        F.col("timestamp").alias("arrival"),
-        F.struct(F.col("timestamp").alias("arrival"), "partition", "offset").alias("arrival_order"),
+        arrival.alias("arrival"),
+        F.struct("partition", "offset").alias("arrival_order"),
+        F.col("timestamp").alias("broker_time"),
     )
 
 
@@ -295,13 +322,14 @@ def run_topics(spark: SparkSession, starts: Sequence[Callable[[], StreamingQuery
             query.stop()
 
 
-def dedup_stream(df: DataFrame, arrival: str = "arrival", delay: str = DEDUP_DELAY, key: str = "event_id") -> DataFrame:
-    """First event per id within a bounded horizon; state older than it is dropped.
+def dedup_stream(df: DataFrame, delay: str = DEDUP_DELAY, key: str = "event_id") -> DataFrame:
+    """First event per id within ``delay`` of its first sight; state older than that is dropped.
 
-    The horizon runs on the time events *arrived*, which only grows: an event that happened
-    long ago is as new as its arrival, and none is late. Events without an id get one of
-    their own for this step, so all take one way and one watermark.
+    The horizon runs on the time at which Spark began the batch that saw an event. It only grows and is
+    kept in the checkpoint, so a repeated batch has the same, and no event is ever late: the times of
+    the event, of its file and of its broker play no part. Events without an id get one of their own for
+    this step, so all take one way and one watermark.
     """
     own = F.when(F.coalesce(F.col(key), F.lit("")) == "", F.concat(F.lit("\0"), F.expr("uuid()"))).otherwise(F.col(key))
-    once = df.withColumn("__once", own).withWatermark(arrival, delay).dropDuplicatesWithinWatermark(["__once"])
-    return once.drop("__once")
+    seen = df.withColumn("__once", own).withColumn("__seen", F.current_timestamp()).withWatermark("__seen", delay)
+    return seen.dropDuplicatesWithinWatermark(["__once"]).drop("__once", "__seen")

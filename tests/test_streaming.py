@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import random
+import time
 from datetime import datetime
 
 import pytest
@@ -123,6 +125,49 @@ def test_latest_passes_over_what_is_there_and_nothing_else(spark, landing, where
     assert archived(spark, where) == ["u2", "u3", "u4", "u5", "u6", "u7"]
 
 
+def _renamed_in(landing, tmp_path, age_days):
+    """A file written now and renamed into the folder later, with a time that lies in the past."""
+    side = Landing(landing.spark, tmp_path / f"side{age_days}")
+    side.n = landing.n
+    ids = side.land(2)
+    landing.n = side.n
+    (found,) = (tmp_path / f"side{age_days}").glob("part-*.parquet")
+    then = time.time() - age_days * 86_400
+    os.utime(found, (then, then))
+    return ids, lambda: found.rename(tmp_path / "landing" / f"late-{age_days}.parquet")
+
+
+def test_latest_keeps_files_that_are_renamed_in_later(spark, landing, where, tmp_path):
+    landing.land(2)
+    found = [_renamed_in(landing, tmp_path, age) for age in (0, 20, 400)]
+    landing.land(2)
+    run(spark, landing, where, initial=LATEST, start=LATEST)
+    want = []
+    for ids, rename in found:
+        rename()
+        want += ids
+        run(spark, landing, where, initial=LATEST, start=LATEST)
+    want += landing.land(2)
+    run(spark, landing, where)
+    assert archived(spark, where) == sorted(want)
+
+
+def test_latest_takes_another_file_under_an_old_path(spark, landing, where, tmp_path):
+    landing.land(2)
+    run(spark, landing, where, initial=LATEST, start=LATEST)
+    ids, rename = _renamed_in(landing, tmp_path, 3)
+    (old,) = (tmp_path / "landing").glob("part-*.parquet")
+    old.unlink()
+    old.with_name(f".{old.name}.crc").unlink()
+    rename()
+    (tmp_path / "landing" / "late-3.parquet").rename(old)
+    other = str(tmp_path / "other-checkpoint")
+    # The list of the first start, taken up by another checkpoint that has read nothing yet.
+    (tmp_path / "checkpoint-latest").rename(f"{other}-latest")
+    run(spark, landing, (where[0], other), initial=LATEST, start=LATEST)
+    assert archived(spark, where) == ids
+
+
 def test_latest_holds_when_the_first_batch_is_repeated(spark, landing, where):
     def fail(*_):
         raise RuntimeError("killed")
@@ -258,38 +303,60 @@ def test_first_failing_topic_stops_the_others(spark, tmp_path):
     assert not spark.streams.active
 
 
-def test_stream_dedup(spark, tmp_path):
-    """Several batches, old events among new ones, events without id, and state that is dropped."""
-    src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    # (id, day it happened, day it arrived), a batch for each day of arrival
-    rows = [("a", 30, 1), ("", 1, 1), ("", 1, 1), ("b", 2, 2), ("a", 30, 2), ("c", 1, 20), ("", 3, 20), ("d", 9, 40), ("e", 1, 41), ("c", 1, 42)]
-    for day in sorted({r[2] for r in rows}):
-        df = spark.createDataFrame([r for r in rows if r[2] == day], "event_id string, happened int, day int")
-        arrival = ts_lit(datetime(2026, 1, 1)) + F.make_dt_interval(days=F.col("day"))
-        df.withColumn("arrival", arrival).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+def _deduplicated(spark, src, out, checkpoint, delay):
+    stream = spark.readStream.schema("event_id string, happened int, arrival timestamp").option("maxFilesPerTrigger", 1)
     query = (
-        dedup_stream(stream)
-        .writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+        dedup_stream(stream.parquet(src), delay)
+        .writeStream.format("parquet").option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start(out)
     )
     query.awaitTermination()
-    got = sorted(r.event_id for r in spark.read.parquet(out).collect())
-    # The second c arrived after the horizon of the first.
-    assert got == ["", "", "", "a", "b", "c", "c", "d", "e"]
-    states = [p["stateOperators"][0] for p in map(lambda p: json.loads(p.json), query.recentProgress) if p["stateOperators"]]
-    assert sum(s["numRowsDroppedByWatermark"] for s in states) == 0
-    totals = [s["numRowsTotal"] for s in states]
-    assert totals[-1] < max(totals)
+    return [p["stateOperators"][0] for p in map(lambda p: json.loads(p.json), query.recentProgress) if p["stateOperators"]]
+
+
+def test_stream_dedup(spark, tmp_path):
+    """Files and events of any age, also 20 days behind those before: the first of an id passes."""
+    src, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    # (id, day it happened, day its file has), a file and so a batch for each
+    rows = [("a", 30, 20), ("", 1, 20), ("", 1, 20), ("b", 2, 21), ("a", 30, 21), ("c", 1, 1), ("", 3, 1), ("d", 9, 22), ("c", 1, 22)]
+    dropped = 0
+    for day in (20, 21, 1, 22):
+        df = spark.createDataFrame([r for r in rows if r[2] == day], "event_id string, happened int, day int")
+        arrival = ts_lit(datetime(2026, 1, 1)) + F.make_dt_interval(days=F.col("day") - 1)
+        df.withColumn("arrival", arrival).drop("day").coalesce(1).write.mode("append").parquet(src)
+        for state in _deduplicated(spark, src, out, checkpoint, "7 days"):
+            dropped += state["numRowsDroppedByWatermark"]
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["", "", "", "a", "b", "c", "d"]
+    assert dropped == 0
+
+
+def test_dedup_state_is_dropped_after_the_horizon(spark, tmp_path):
+    src, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def land(*ids):
+        rows = [(i, 1, datetime(2026, 1, 1)) for i in ids]
+        spark.createDataFrame(rows, "event_id string, happened int, arrival timestamp").coalesce(1).write.mode("append").parquet(src)
+        return _deduplicated(spark, src, out, checkpoint, "1 second")
+
+    land("a", "b")
+    time.sleep(2)
+    land("c")  # moves the horizon over the first two
+    states = land("a")
+    assert states[-1]["numRowsTotal"] <= 2
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "a", "b", "c"]
 
 
 def test_broker_rows_become_records(spark):
     good = json.dumps({"schema_name": "org.Login", "payload": {"EventUuid": "u1", "EventDate": 1789434123004, "Score": 1.5}})
-    rows = spark.createDataFrame([(good, 3, 41, datetime(2027, 5, 1, 6))], "value string, partition int, offset long, timestamp timestamp")
+    broker = "value string, partition int, offset long, timestamp timestamp, timestampType int"
+    rows = spark.createDataFrame([(good, 3, 41, datetime(2027, 5, 1, 6), 1)], broker)
     schema = SCHEMA.partition(", ")[2]
     row = event_records(decode_topic(rows, schema), TOPIC, "unit").head()
     assert (row.event_id, row.event_type, row.partition_time) == ("u1", "Login", datetime(2027, 5, 1, 6))
     assert row.replay_id == "Mzo0MQ==" and json.loads(row.payload_json)["Score"] == 1.5
+    # A producer's time is no arrival.
+    produced = decode_topic(rows.withColumn("timestampType", F.lit(0)), schema).select("*", F.current_timestamp().alias("now")).head()
+    assert produced.arrival == produced.now and produced.broker_time == datetime(2027, 5, 1, 6)
     bad = rows.withColumn("value", F.lit("{oops"))
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|Malformed"):
         event_records(decode_topic(bad, schema), TOPIC, "unit").collect()
