@@ -218,7 +218,7 @@ def user_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------
 
 
-def _landed(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, T.StructType]:
+def landed_topic(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, T.StructType]:
     """Test events landed as files of a topic."""
     landing = workspace(spark, name)
     landed = events(spark, sf_dir).select(
@@ -244,7 +244,7 @@ def _landed(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, T.StructT
     FROM events""")
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landed topic archived by a streaming query, then read back."""
-    landing, schema = _landed(spark, sf_dir, "landing")
+    landing, schema = landed_topic(spark, sf_dir, "landing")
     root, checkpoint = workspace(spark, "topic"), workspace(spark, "topic-checkpoint")
     stream = read_event_stream(spark, landing, schema, fmt="parquet")
     topic = Topic("/event/Test", "main", "00D000000000001", "prod")
@@ -269,7 +269,7 @@ def _streamed(spark: SparkSession, root: str) -> DataFrame:
 
 def _thirds(spark: SparkSession, sf_dir: str, name: str) -> tuple[list[DataFrame], str]:
     """Landed test events in three parts, and an empty landing folder."""
-    source, schema = _landed(spark, sf_dir, f"{name}-events")
+    source, schema = landed_topic(spark, sf_dir, f"{name}-events")
     rows = spark.read.schema(schema).parquet(source)
     third = F.col("payload.EventUuid").cast("bigint") % 3
     return [rows.where(third == i) for i in range(3)], workspace(spark, name)
@@ -302,7 +302,7 @@ def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(STREAMED.format("unnest(['one', 'two'])", ""))
 def stream_two_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two instances archive one topic side by side; each has all its events."""
-    landing, schema = _landed(spark, sf_dir, "instances-landing")
+    landing, schema = landed_topic(spark, sf_dir, "instances-landing")
     root = workspace(spark, "instances")
     for name in ("one", "two"):
         _run_topic(spark, landing, schema, root, workspace(spark, f"instance-{name}"), EARLIEST, name)
@@ -313,23 +313,20 @@ def stream_two_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, {TS6} AS ts FROM events""")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed with repeats, each passed on once by a streaming query."""
-    landing, out = workspace(spark, "repeats"), workspace(spark, "once")
+    landing, out, checkpoint = (workspace(spark, n) for n in ("repeats", "once", "once-checkpoint"))
     rows = event_records(events(spark, sf_dir)).select("event_id", "event_type", "timestamp")
-    # Three files, and so three batches, that arrive one after the other; the second has repeats.
+    # Three runs, one after the other; the second has repeats.
     again = rows.where(F.col("event_type").isin("purchase", "error"))
-    for hour, part in enumerate([rows.where("event_id % 2 = 0"), again, rows.where("event_id % 2 = 1")]):
-        arrival = F.lit(ARRIVAL).cast("timestamp") + F.make_dt_interval(hours=F.lit(hour))
-        part.withColumn("arrival", arrival).coalesce(1).write.mode("append").parquet(landing)
-    schema = spark.read.parquet(landing).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    (
-        dedup_stream(stream)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", workspace(spark, "once-checkpoint"))
-        .trigger(availableNow=True)
-        .start(out)
-        .awaitTermination()
-    )
+    for part in (rows.where("event_id % 2 = 0"), again, rows.where("event_id % 2 = 1")):
+        part.write.mode("append").parquet(landing)
+        (
+            dedup_stream(spark.readStream.schema(rows.schema).parquet(landing))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(out)
+            .awaitTermination()
+        )
     return spark.read.schema(rows.schema).parquet(out).select(
         "event_id", "event_type", text6(F.col("timestamp")).alias("ts")
     )

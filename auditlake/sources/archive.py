@@ -187,7 +187,8 @@ def _object_files(
     else:
         files = reader.option("basePath", raw_root(root)).load(list(paths))
         if unit is not None:
-            files = files.where(F.col("unit") == unit)
+            # The unit itself or its flushes.
+            files = files.where((F.col("unit") == unit) | F.col("unit").startswith(f"{unit}-"))
     return files.select(
         object_key_of(F.col("path")).alias("object_key"), F.col("length"), F.col("content")
     )

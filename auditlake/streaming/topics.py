@@ -24,6 +24,8 @@ from auditlake.operators.aggregates import batch_metrics, batch_range
 from auditlake.schemas import STREAM
 from auditlake.session import child_names, path_exists
 from auditlake.sinks.archive import write_archive, write_manifests
+from auditlake.streaming.flushes import in_flushes
+from auditlake.streaming.retention import require_retained
 
 EARLIEST = "EARLIEST"
 LATEST = "LATEST"
@@ -257,11 +259,14 @@ def batch_unit(topic: Topic, run: str, batch_id: int) -> str:
 Report = Callable[[int, dict], None]
 
 
-def archive_batch(topic: Topic, root: str, checkpoint: str, report: Report | None = None):
+def archive_batch(
+    topic: Topic, root: str, checkpoint: str, report: Report | None = None, flush_events: int | None = None
+):
     """The `foreachBatch` body: objects, manifests, and only then the commit.
 
-    ``report`` is called between manifests and commit with the batch id and the
-    measures taken while the batch was written.
+    With ``flush_events`` a batch is stored in flushes of at most so many events, in the order
+    they landed, each a unit with its own positions. ``report`` is called between manifests and
+    commit with the batch id and the measures taken while the batch was written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -271,6 +276,8 @@ def archive_batch(topic: Topic, root: str, checkpoint: str, report: Report | Non
         try:
             unit = batch_unit(topic, run_id(batch.sparkSession, checkpoint), batch_id)
             records = event_records(batch, topic, unit)
+            if flush_events:
+                records = in_flushes(records, flush_events)
             measures = Observation()
             written = records.observe(measures, *batch_metrics())
             write_archive(written, root)
@@ -292,14 +299,23 @@ def archive_stream(
     initial: str | None = None,
     once: bool = False,
     flush_seconds: int = FLUSH_SECONDS,
+    flush_events: int | None = None,
     report: Report | None = None,
+    landing: str | None = None,
 ) -> StreamingQuery:
-    """Archive a topic. ``once`` works off what has landed and stops."""
-    start_position(events.sparkSession, checkpoint, initial)
+    """Archive a topic. ``once`` works off what has landed and stops.
+
+    What arrived is flushed after ``flush_seconds``, and in parts of at most ``flush_events`` where
+    given. Where ``landing`` is given, the start is refused if a landed file that the last,
+    unfinished batch was to archive is gone.
+    """
+    spark = events.sparkSession
+    if start_position(spark, checkpoint, initial) == "STORED" and landing:
+        require_retained(spark, landed_files(spark, landing), checkpoint)
     writer = (
         events.writeStream.queryName(f"{topic.name.strip('/')}-{topic.instance}".replace("/", "-"))
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(archive_batch(topic, root, checkpoint, report))
+        .foreachBatch(archive_batch(topic, root, checkpoint, report, flush_events))
     )
     if once:
         return writer.trigger(availableNow=True).start()

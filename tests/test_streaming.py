@@ -15,6 +15,9 @@ from auditlake.functions.times import ts_lit
 from auditlake.plans.verify import verify_archive
 from auditlake.operators.joins import attach_schema
 from auditlake.sources.archive import read_archive, read_manifests
+from auditlake.streaming.flushes import in_flushes
+from auditlake.streaming.progress import ProgressTable, live_freshness, read_progress
+from auditlake.streaming.retention import OutsideRetentionError, pending_files
 from auditlake.streaming.topics import (
     EARLIEST,
     LATEST,
@@ -360,3 +363,100 @@ def test_broker_rows_become_records(spark):
     bad = rows.withColumn("value", F.lit("{oops"))
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|Malformed"):
         event_records(decode_topic(bad, schema), TOPIC, "unit").collect()
+
+
+def test_flushes_hold_so_many_events_in_order(spark, landing, where):
+    ids = landing.land(25) + landing.land(3)
+    events = read_event_stream(spark, landing.path, SCHEMA, fmt="parquet", max_files=2)
+    archive_stream(events, TOPIC, *where, initial=EARLIEST, once=True, flush_events=10).awaitTermination()
+    rows = read_archive(spark, where[0]).groupBy("part_unit").agg(F.collect_set("event_id").alias("ids")).collect()
+    found = [sorted(r.ids, key=lambda i: int(i[1:])) for r in sorted(rows, key=lambda r: r.part_unit)]
+    # Two files of one moment may come either way round; inside a file the order is kept.
+    assert [len(f) for f in found] == [10, 10, 8]
+    assert sorted(i for f in found for i in f) == sorted(ids)
+    assert verify_archive(spark, where[0], strict=True).report().head().ok
+    ranges = read_manifests(spark, where[0]).select("manifest.lineage", "manifest.recordCount").collect()
+    assert sorted(r.recordCount for r in ranges) == [8, 10, 10]
+    assert len({r.lineage["replayIdFirst"] for r in ranges}) == 3
+
+
+def test_repeated_batch_has_the_same_flushes(spark, landing, where):
+    def fail(*_):
+        raise RuntimeError("killed")
+
+    ids = landing.land(23)
+
+    def start(report=None):
+        events = read_event_stream(spark, landing.path, SCHEMA, fmt="parquet")
+        archive_stream(events, TOPIC, *where, initial=EARLIEST, once=True, flush_events=4, report=report).awaitTermination()
+
+    with pytest.raises(Exception, match="killed"):
+        start(fail)
+    first = {(r.part_unit, r.event_id) for r in read_archive(spark, where[0]).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        start()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {(r.part_unit, r.event_id) for r in read_archive(spark, where[0]).collect()} == first
+    assert archived(spark, where) == sorted(ids)
+    with pytest.raises(ValueError):
+        in_flushes(spark.range(1), 0)
+
+
+def test_removed_file_of_an_unfinished_batch_stops_the_start(spark, landing, where, tmp_path):
+    def fail(*_):
+        raise RuntimeError("killed")
+
+    def start(report=None):
+        events = read_event_stream(spark, landing.path, SCHEMA, fmt="parquet", max_files=1)
+        query = archive_stream(events, TOPIC, *where, initial=EARLIEST, once=True, report=report, landing=landing.path)
+        query.awaitTermination()
+
+    ids = landing.land(2)
+    start()
+    (done,) = (tmp_path / "landing").glob("part-*.parquet")
+    ids += landing.land(2)
+    with pytest.raises(Exception, match="killed"):
+        start(fail)
+    done.unlink()  # archived and committed: nobody misses it
+    (pending,) = (tmp_path / "landing").glob("part-*.parquet")
+    aside = pending.rename(tmp_path / "aside")
+    with pytest.raises(OutsideRetentionError, match="1 landed file"):
+        start()
+    assert pending_files(spark, where[1]).count() == 1
+    aside.rename(pending)
+    start()
+    start()
+    assert pending_files(spark, where[1]).count() == 0
+    assert archived(spark, where) == sorted(ids)
+
+
+def test_live_measures(spark, landing, where, tmp_path):
+    folder = str(tmp_path / "progress")
+    assert read_progress(spark, folder).count() == 0
+    table = ProgressTable(spark, folder)
+    spark.streams.addListener(table)
+    try:
+        landing.land(3)
+        landing.land(4)
+        run(spark, landing, where, table.report("login"), initial=EARLIEST)
+
+        def fail(*_):
+            raise RuntimeError("killed")
+
+        landing.land(1)
+        with pytest.raises(Exception, match="killed"):
+            run(spark, landing, where, fail)
+        for _ in range(100):
+            rows = read_progress(spark, folder).collect()
+            if sum(r.kind == "ended" for r in rows) == 2:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(table)
+    assert sum(r.kind == "batch" and r.records > 0 for r in rows) >= 2
+    assert [r.error is not None for r in rows if r.kind == "ended"].count(True) == 1
+    row = live_freshness(read_progress(spark, folder), datetime(2026, 9, 15, 1, 2, 13)).head()
+    assert (row.name, row.batches, row.records, row.state) == ("login", 2, 7, "ok")
+    assert row.newest_event == datetime(2026, 9, 15, 1, 2, 3, 10_000) and row.age_seconds == 10
