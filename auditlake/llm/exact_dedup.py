@@ -16,9 +16,12 @@ from auditlake.llm.common import lower_ascii, mix64, stage, without
 SEGMENT_ROWS = 1 << 15
 CELLS_PER_ROW = 16
 PROBES = 4
-# The filter is sent to the executors up to this size: 16 bits for each of 64 million rows.
+# The filter is sent to the executors up to this size: 16 bits for each of 64 million rows. Beyond it
+# the hashes are sent to the filter.
 FILTER_LIMIT = 128 << 20
 
+# Columns of this module's own, which a table may have too.
+OWN = ("__id", "__h", "__maybe", "__row", "__best")
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -76,14 +79,39 @@ def filter_twice(hashes: DataFrame, segments: int) -> DataFrame:
     )
 
 
+def hits(bits: bytes, at: np.ndarray) -> np.ndarray:
+    """Which hashes have all their cells (one row for each probe) set in a segment."""
+    found = np.frombuffer(bits, np.uint8)
+    return ((found[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0)
+
+
+def found_again(hashes: DataFrame, segments: int) -> DataFrame:
+    """(h): the hashes that the filter takes for repeated. Each different hash meets its segment once, and a
+    segment is made for so many hashes, however many rows share one."""
+
+    @F.pandas_udf("long")
+    def segment_of(h: pd.Series) -> pd.Series:
+        return pd.Series(cells(h.to_numpy(), segments)[0])
+
+    def probe(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        h = asked["h"].to_numpy()
+        if not len(h) or there.empty:
+            return pd.DataFrame({"h": h[:0]})
+        return pd.DataFrame({"h": h[hits(there["bits"].iloc[0], cells(h, segments)[1])]})
+
+    asked = hashes.select(F.col("__h").alias("h")).distinct().withColumn("segment", segment_of("h"))
+    filters = filter_twice(hashes, segments)
+    return asked.groupBy("segment").cogroup(filters.groupBy("segment")).applyInPandas(probe, "h long")
+
+
 def with_maybe(rows: DataFrame, limit: int) -> DataFrame:
     """``rows`` with ``__maybe``: their hash ``__h`` is possibly there twice, never false for
     one that is."""
     spark = rows.sparkSession
     segments = filter_segments(rows.count())
     if segments * SEGMENT_ROWS * CELLS_PER_ROW // 8 > limit:
-        # A filter too large to send: hashes are counted instead, 8 bytes for each.
-        repeated = rows.groupBy("__h").count().where("count > 1").select("__h", F.lit(True).alias("__maybe"))
+        # A filter too large to send: the different hashes go to its segments, 8 bytes for each.
+        repeated = found_again(rows.select("__h"), segments).select(F.col("h").alias("__h"), F.lit(True).alias("__maybe"))
         return rows.join(repeated, "__h", "left").withColumn("__maybe", F.coalesce("__maybe", F.lit(False)))
     found = filter_twice(rows.select("__h"), segments).collect()
     sent = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in found})
@@ -94,9 +122,8 @@ def with_maybe(rows: DataFrame, limit: int) -> DataFrame:
         out = np.zeros(len(h), bool)
         for s in np.unique(segment):
             mine = np.flatnonzero(segment == s)
-            bits = np.frombuffer(sent.value.get(int(s), bytes(SEGMENT_ROWS * CELLS_PER_ROW // 8)), np.uint8)
-            cell = at[:, mine]
-            out[mine] = ((bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1).all(axis=0)
+            if int(s) in sent.value:
+                out[mine] = hits(sent.value[int(s)], at[:, mine])
         return pd.Series(out)
 
     return rows.withColumn("__maybe", probe("__h"))
@@ -118,6 +145,15 @@ def mark_copies(
     shuffled and compared by their SHA-256.
     """
     docs = without(docs, *RESULT)
+    clash = [c for c in docs.columns if c.lower() in OWN]
+    if clash:
+        # Other names while the work is done.
+        there = {c: f"{c}_of_table" for c in clash}
+        marked = mark_copies(
+            docs.withColumnsRenamed(there), there.get(id_col, id_col), there.get(text_col, text_col),
+            [there.get(c, c) for c in keep] if keep else None, limit,
+        )
+        return marked.withColumnsRenamed({new: old for old, new in there.items()})
     columns = [c for c in (keep or docs.columns) if c not in RESULT]
     text = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(

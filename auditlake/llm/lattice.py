@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -9,8 +11,11 @@ import numpy as np
 from auditlake.llm.common import mix64
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 # Cells of a lattice (words x places x piece lengths) that are held at once.
 CELLS = 1 << 21
+# Longer words are taken alone, in windows of so many bytes.
+LONG_WORD = 4096
 
 
 class Lattice:
@@ -77,7 +82,7 @@ class Lattice:
         """Words of one length: their places in the list, and the pieces that end at each
         place (word, place, length of the piece less 1)."""
         sizes = np.array([len(w) for w in words])
-        for size in np.unique(sizes[sizes > 0]).tolist():
+        for size in np.unique(sizes[(sizes > 0) & (sizes <= LONG_WORD)]).tolist():
             mine = np.flatnonzero(sizes == size)
             widest = min(size, self.longest)
             step = max(1, CELLS // (size * widest))
@@ -107,8 +112,72 @@ class Lattice:
         out = np.zeros(len(words))
         for part, pieces in self._blocks(words):
             out[part] = self._forward(pieces)[:, -1]
+        for i, word in enumerate(words):
+            if len(word) > LONG_WORD:
+                out[i] = self._long_forward(word)[-1]
         return out
 
+    def _arcs(self, text: np.ndarray, start: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(end, length, piece) of all pieces in a text that end behind ``start`` and up to ``stop``."""
+        low = max(0, start - self.longest)
+        part = text[low:stop].astype(np.uint64) + np.uint64(1)
+        # Prefix hashes as sums of powers: the base is odd and has an inverse modulo 2**64.
+        up = np.cumprod(np.append(np.uint64(1), np.full(len(part), _BASE)), dtype=np.uint64)
+        down = np.cumprod(np.full(len(part), _INVERSE), dtype=np.uint64)
+        hashed = np.append(np.uint64(0), np.cumsum(part * down, dtype=np.uint64)) * up
+        ends, sizes, found = [], [], []
+        for w in range(1, min(self.longest, len(part)) + 1):
+            value = hashed[w:] - hashed[: len(hashed) - w] * self.powers[w]
+            piece = self._lookup(self._key(value, w))
+            at = np.flatnonzero(piece < len(self.keys) - 1)
+            at = at[at + low + w > start]
+            ends.append(at + low + w)
+            sizes.append(np.full(len(at), w))
+            found.append(piece[at])
+        return np.concatenate(ends), np.concatenate(sizes), np.concatenate(found)
+
+    def _windows(self, size: int) -> list[tuple[int, int]]:
+        return [(a, min(a + LONG_WORD, size)) for a in range(0, size, LONG_WORD)]
+
+    def _long_forward(self, word: bytes, every: bool = False) -> list[float]:
+        """The last values of ``_forward`` for one long word, or all of them; only the pieces that are there
+        are looked at, and of earlier windows no more than the longest piece reaches back."""
+        text, alpha, low = np.frombuffer(word, np.uint8), [0.0], 0
+        for start, stop in self._windows(len(text)):
+            if not every and len(alpha) > self.longest:
+                low += len(alpha) - self.longest
+                alpha = alpha[-self.longest :]
+            ends, sizes, found = self._arcs(text, start, stop)
+            order = np.argsort(ends, kind="stable")
+            begin = (ends - sizes - low)[order].tolist()
+            logp = self.logp[found[order]].tolist()
+            bounds = np.searchsorted(ends[order], np.arange(start + 1, stop + 1), "right").tolist()
+            i = 0
+            for j in bounds:
+                alpha.append(_log_sum([alpha[b] + p for b, p in zip(begin[i:j], logp[i:j])]))
+                i = j
+        return alpha
+
+    def _long_counts(self, word: bytes, total: np.ndarray) -> None:
+        """Add the expected use of the pieces in one long word: backward by windows, from the last."""
+        text, size = np.frombuffer(word, np.uint8), len(word)
+        alpha, beta = np.array(self._long_forward(word, True)), array("d", [0.0])
+        # beta[k] belongs to the place ``size - k``; pieces by where they begin, the last first.
+        for start, stop in self._windows(size)[::-1]:
+            ends, sizes, found = self._arcs(text, start, min(size, stop + self.longest))
+            mine = (ends - sizes >= start) & (ends - sizes < stop)
+            ends, sizes, found = ends[mine], sizes[mine], found[mine]
+            order = np.argsort(sizes - ends, kind="stable")
+            ends, begin, found = ends[order], (ends - sizes)[order], found[order]
+            logp, behind = self.logp[found], (size - ends).tolist()
+            bounds = np.searchsorted(-begin, -np.arange(stop - 1, start - 1, -1), "right").tolist()
+            ways, i = logp.tolist(), 0
+            for j in bounds:
+                beta.append(_log_sum([beta[b] + p for b, p in zip(behind[i:j], ways[i:j])]))
+                i = j
+            share = np.exp(alpha[begin] + logp + np.frombuffer(beta)[size - ends] - alpha[-1])
+            total += np.bincount(found, share, len(total))
+
     def expected_counts(self, words: Sequence[bytes]) -> np.ndarray:
         """How often each piece is expected in the segmentations of the words."""
         total = np.zeros(len(self.logp))
@@ -128,4 +197,12 @@ class Lattice:
                 share[:, e, min(widest, e + 1) :] = -np.inf
             share = np.exp(share - alpha[:, -1][:, None, None])
             total += np.bincount(pieces.ravel(), share.ravel(), len(self.logp))
+        for word in words:
+            if len(word) > LONG_WORD:
+                self._long_counts(word, total)
         return total[:-1]
+
+
+def _log_sum(ways: list[float]) -> float:
+    top = max(ways)
+    return top + math.log(sum([math.exp(x - top) for x in ways]))

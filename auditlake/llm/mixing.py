@@ -111,6 +111,45 @@ def mix(
     names = F.col(ident).alias("ident"), F.col(source).alias("source"), F.col(draw or ident).alias("draw")
     rows = measured(docs, text, *names)
     rows = stage(rows.withColumn("key", draw_key(F.col("draw"), F.col("quality"), seed)).drop("draw"), "mix-sizes")
+    return decided(rows, weights, most).select(
+        F.col("ident").alias(ident),
+        "source",
+        "size",
+        "source_size",
+        "target",
+        (F.col("epochs") + F.col("part")).cast("int").alias("times"),
+        ((F.col("epochs") + F.col("part")) * F.col("size")).alias("taken"),
+    )
+
+
+def take(
+    docs: DataFrame,
+    source: str,
+    text: str,
+    draw: str,
+    weights: Sequence[float] = WEIGHTS,
+    most: int = MOST,
+    seed: str = "mix",
+) -> DataFrame:
+    """The rows of ``docs``, all their columns, each as often as ``mix`` takes it: not at all, or up to ``most`` times.
+
+    Sizes and keys are written beside the rows, and the plan of a source says of most rows by their key alone
+    how often they are taken. So texts stay where they are; only the rows of the bins in which budgets
+    end, about one in 2700, are shuffled. Nulls, ties, repeated rows and an empty table are as in ``mix``.
+    """
+    own = {c: f"__d{i}" for i, c in enumerate(docs.columns)}
+    wide = measured(
+        docs, text, *[F.col(c).alias(new) for c, new in own.items()], F.col(source).alias("source"),
+        F.monotonically_increasing_id().alias("ident"),
+    )
+    wide = stage(wide.withColumn("key", draw_key(F.col(own[draw]), F.col("quality"), seed)), "mix-rows")
+    rows = decided(wide, weights, most).withColumn("times", (F.col("epochs") + F.col("part")).cast("int"))
+    taken = rows.where("times > 0").withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return taken.select(*[F.col(new).alias(c) for c, new in own.items()])
+
+
+def decided(rows: DataFrame, weights: Sequence[float], most: int) -> DataFrame:
+    """``rows`` (ident, source, size, key, others) with their source's plan, ``epochs`` and ``part`` (0 or 1 more)."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = (
         targets(sizes, weights, most)
@@ -139,12 +178,4 @@ def mix(
     rest = rows.where("last is null or bin <> last").withColumn(
         "part", F.when((F.col("epochs") < most) & (F.col("bin") < F.col("last")), 1).otherwise(0)
     )
-    return rest.unionByName(edge).select(
-        F.col("ident").alias(ident),
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("epochs") + F.col("part")).cast("int").alias("times"),
-        ((F.col("epochs") + F.col("part")) * F.col("size")).alias("taken"),
-    )
+    return rest.unionByName(edge)

@@ -21,6 +21,8 @@ RECALL_TARGET = 0.97
 # Vectors that meet in one task, and the queries that meet them there.
 BIN_ROWS, BIN_QUERIES = 8192, 4096
 CELL_ROWS, MOST_CENTROIDS = 50, 512
+# Queries whose cells one task looks up.
+PROBE_ROWS = 1000
 # Room for the rounding of a matrix product beside the exact score.
 SLACK = 1e-9
 
@@ -200,7 +202,9 @@ def search(
                             out[name].append(value)
             yield pd.DataFrame(out)
 
-    probes = stage(queries.mapInPandas(probe, "bin long, query_id long, qvec binary, cells binary"), "probes")
+    # A row costs a walk through the cells, whatever its bytes: tasks get so many rows each.
+    dealt_out = queries.repartition(max(1, -(-queries.count() // PROBE_ROWS)), "id")
+    probes = stage(dealt_out.mapInPandas(probe, "bin long, query_id long, qvec binary, cells binary"), "probes")
     load = stage(
         probes.groupBy("bin").agg(F.ceil(F.count("*") / BIN_QUERIES).cast("int").alias("groups")), "probe-load"
     )

@@ -83,6 +83,25 @@ def key_filter(keys: DataFrame, bits: int) -> np.ndarray:
     return found.reshape(-1)
 
 
+def drop_rows(rows: DataFrame, number: str, dropped: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` without those whose ``number`` (long, not null) is among the ``dropped`` ones.
+
+    A filter of fixed size tells which rows may be dropped: these are shuffled and looked up, all others
+    stay where they are, with their texts. With many dropped rows the filter lets more through.
+    """
+    key = F.unhex(F.lpad(F.hex(F.xxhash64(number)), 16, "0"))
+    sent = rows.sparkSession.sparkContext.broadcast(key_filter(dropped.select(key.alias("key")), bits))
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        cell = (h.to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+        return pd.Series((sent.value[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool))
+
+    marked = rows.withColumn("__maybe", maybe(F.xxhash64(number)))
+    stay = marked.where(~F.col("__maybe"))
+    return stay.unionByName(marked.where("__maybe").join(dropped.select(number), number, "left_anti")).drop("__maybe")
+
+
 def sets_of(docs: DataFrame, text: str, words: int, keys: DataFrame) -> DataFrame:
     """(key, shingles): the sets with the given keys, once each."""
     bits = FILTER_BITS

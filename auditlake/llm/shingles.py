@@ -50,7 +50,7 @@ def shingle_sets(texts: Sequence[str | None], n: int) -> Iterator[np.ndarray]:
             counts = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
             runs = np.zeros(max(0, len(words) - n + 1), np.uint64)
             for k in range(n):
-                runs += words[k : len(words) - n + 1 + k] * weights[k]
+                runs += words[k : len(runs) + k] * weights[k]
             runs = mix64(runs)
             at = 0
             for c in counts.tolist():

@@ -23,7 +23,6 @@ CLASS_SAMPLE = 6000
 LEAST_CONTEXTS, LEAST_WEIGHT, LEAST_RATIO = 5, 4.0, 3
 # Words that share a beginning are one term if so many different ones do.
 STEM_LENGTHS, STEM_WORDS = (4, 5, 6, 7, 8), 3
-LEXICON_SIZE = 5000
 EXCEPTIONS = ("trash can", "trash bin", "idiot proof", "loser bracket")
 
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
@@ -89,7 +88,8 @@ def learn(docs: DataFrame, form: int, share: float = 1.0) -> tuple[dict[str, flo
 
     A term counts once for each different word before it, so that copies of a text give its words
     no weight. Patterns are whole words (`` word ``) or beginnings (`` stem``). A phrase of a
-    term and the word before it is an exception if it is found in other texts and in no toxic one.
+    term and the word before it is an exception if it is found in other texts and in no toxic one. All terms
+    and all such phrases are taken; their number is bounded by the sample's texts.
     """
     pairs = stage(
         contexts(docs, form).groupBy("word", "left").agg(F.max("toxic").alias("bad"), F.max(1 - F.col("toxic")).alias("good")),
@@ -103,8 +103,7 @@ def learn(docs: DataFrame, form: int, share: float = 1.0) -> tuple[dict[str, flo
         terms = terms.withColumn("w", weight).where(
             (F.col("p") >= LEAST_CONTEXTS) & (F.col("p") >= LEAST_RATIO * share * F.col("n")) & (F.col("w") >= LEAST_WEIGHT)
         )
-        rows = terms.orderBy(F.desc(F.col("w") * F.log1p("p")), "term").limit(LEXICON_SIZE).collect()
-        return {r.term: r.w for r in rows}
+        return {r.term: r.w for r in terms.select("term", "w").collect()}
 
     stems = strong(
         words.select(
@@ -122,7 +121,7 @@ def learn(docs: DataFrame, form: int, share: float = 1.0) -> tuple[dict[str, flo
     lexicon = {f" {s}": w for s, w in stems.items() if not any(s[:k] in stems for k in STEM_LENGTHS if k < len(s))}
     lexicon |= {f" {t} ": w for t, w in alone.items() if not any(t[:k] in stems for k in STEM_LENGTHS)}
     found = pairs.where(F.col("word").isin([p.strip() for p in lexicon if p.endswith(" ")])) if lexicon else None
-    harmless = found.where("good = 1 and bad = 0 and left <> ''").limit(LEXICON_SIZE).collect() if found else []
+    harmless = found.where("good = 1 and bad = 0 and left <> ''").select("left", "word").collect() if found else []
     return lexicon, {f" {r.left} {r.word} " for r in harmless}
 
 

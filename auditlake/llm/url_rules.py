@@ -106,7 +106,7 @@ def judge_urls(
     and path and get ``default`` or what their aliases have. Targets that were not crawled count
     as well. Repeated pages each get a row; columns of ``pages`` with the four names are replaced.
     """
-    pages = without(pages, "host", "path", "rule", "verdict", "__node", "__verdict")
+    pages = without(pages, "host", "path", "rule", "verdict", "__node", "__verdict", "__alias")
     verdicts = {rule: verdict for verdict, rule in rules}
 
     def judged(df: DataFrame, col: str) -> DataFrame:
@@ -134,11 +134,11 @@ def judge_urls(
         # 'allow' sorts before 'block', so the least is the one that has precedence.
         .agg(F.min("v").alias("v"))
     )
-    alias = stage(member.join(decided, "root").select(F.col("node").alias("__node"), "v").distinct(), "aliases")
+    alias = stage(member.join(decided, "root").select(F.col("node").alias("__node"), F.col("v").alias("__alias")).distinct(), "aliases")
     return (
         # Only urls without a rule look for aliases; the others keep out of the join by a null key.
         result.withColumn("__node", F.when(F.col("rule").isNull(), node_of(F.col(url))))
         .join(alias, "__node", "left")
-        .withColumn("verdict", F.coalesce("__verdict", "v", F.lit(default)))
-        .drop("__node", "__verdict", "v")
+        .withColumn("verdict", F.coalesce("__verdict", "__alias", F.lit(default)))
+        .drop("__node", "__verdict", "__alias")
     )

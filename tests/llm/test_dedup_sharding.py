@@ -8,7 +8,7 @@ import pytest
 from helpers import documents, empty, texts
 from pyspark.sql import functions as F
 
-from auditlake.llm.exact_dedup import mark_copies
+from auditlake.llm.exact_dedup import filter_segments, found_again, mark_copies
 from auditlake.llm.sharding import assign_shards, jump_hash
 
 
@@ -37,6 +37,25 @@ def test_copies(spark, limit, keep):
     assert set(kept.values()) == {1} and set(kept) == set(groups)
 
 
+def test_columns_with_the_names_of_the_operator(spark):
+    found = [*texts(5, 6), "same", "SAME"]
+    plain = documents(spark, found, odd=False)
+    odd = plain.selectExpr("doc_id AS __id", "text AS __h", "1 AS __maybe", "2 AS __row", "doc_id AS __best")
+    want = {tuple(r) for r in mark_copies(plain, "doc_id", "text", keep=["doc_id"]).collect()}
+    got = mark_copies(odd, "__id", "__h")
+    assert got.columns == ["__id", "__h", "__maybe", "__row", "__best", "keep_id", "group_size", "kept", "text_sha256"]
+    assert {(r["__id"], *tuple(r)[5:]) for r in got.collect()} == want
+    assert {tuple(r) for r in mark_copies(odd, "__id", "__h", keep=["__id"]).collect()} == want
+
+
+def test_the_filter_lets_few_single_hashes_pass(spark):
+    """Repeated hashes are all found, also one that most rows have, and few others are."""
+    rows = spark.range(40_000).selectExpr("CASE WHEN id < 9000 THEN id WHEN id < 12000 THEN id - 3000 WHEN id < 20000 THEN 5 ELSE id END AS __h")
+    found = [r.h for r in found_again(rows, filter_segments(40_000)).collect()]
+    repeated = {5, *range(6000, 9000)}
+    assert len(found) == len(set(found)) and repeated <= set(found) and len(found) - len(repeated) < 400
+
+
 def test_no_documents(spark):
     assert mark_copies(empty(spark), "doc_id", "text").collect() == []
     assert assign_shards(empty(spark), "doc_id", 16).collect() == []

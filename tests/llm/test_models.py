@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -44,6 +45,32 @@ def test_lattice_sums_all_segmentations():
     assert np.isfinite(lattice.log_marginal([b" " + b"abc" * 700])).all()
 
 
+def test_long_words_are_taken_in_windows(monkeypatch):
+    rng = random.Random(4)
+    pieces = [b"a", b"b", b"c", b"ab", b"bc", b"abc", b"aa", b"cabca", b" a", b" "]
+    lattice = Lattice(pieces, np.log(np.random.default_rng(3).dirichlet(np.ones(len(pieces)))))
+    words = [b" " + bytes(rng.choice(b"abc") for _ in range(n)) for n in (3, 7, 8, 20, 63, 64, 65, 200)]
+    logs, counts = lattice.log_marginal(words), lattice.expected_counts(words)
+    for window in (1, 5, 8, 64):
+        monkeypatch.setattr("auditlake.llm.lattice.LONG_WORD", window)
+        assert lattice.log_marginal(words) == pytest.approx(logs)
+        assert lattice.expected_counts(words) == pytest.approx(counts)
+
+
+def test_a_word_of_a_megabyte():
+    pieces, logp = existing_pieces(VOCABULARY)
+    lattice = Lattice(pieces, logp)
+    rng = random.Random(6)
+    word = bytes(rng.choices(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    began = time.monotonic()
+    whole = lattice.log_marginal([word])[0]
+    assert whole < -1e6 and np.isfinite(whole)
+    used = lattice.expected_counts([word])
+    # Every byte lies in one piece of each segmentation.
+    assert used @ [len(p) for p in pieces] == pytest.approx(len(word), rel=1e-4)
+    assert time.monotonic() - began < 60
+
+
 def test_existing_vocabulary():
     pieces, logp = existing_pieces(VOCABULARY)
     assert {bytes([b]) for b in range(256)} <= set(pieces) and np.exp(logp).sum() == pytest.approx(1)

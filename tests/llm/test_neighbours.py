@@ -128,3 +128,10 @@ def test_no_set_key_reaches_the_driver(spark, monkeypatch):
     assert sorted((str(r.doc_id), r.links, str(r.class_id)) for r in rows) == linked(collect(docs))
     assert not [v for r in seen for v in r if isinstance(v, (bytes, bytearray)) and len(v) == 16]
     assert ngram_join.key_filter(spark.createDataFrame([(b"\x00\x03" + bytes(14),), (b"\xff" * 16,)], "key binary"), 16).nonzero()[0].tolist() == [0, 8191]
+
+
+def test_texts_of_few_words_in_all():
+    """Fewer words in a batch than a shingle has."""
+    for found in ([""], ["a"], ["a", "b c", None], ["a b c d"], ["a b c d e"]):
+        sets = list(shingle_sets(found, 5))
+        assert [len(s) for s in sets] == [int(bool((t or "").split())) for t in found]
