@@ -19,37 +19,53 @@ TOXIC_FROM = 0.3
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score less than ``TOXIC_FROM``; all labels are learned from."""
+    """Documents that score less than ``TOXIC_FROM``; all labels are learned from.
+
+    Null and empty texts score as clean. Rows are judged one by one, so repeated rows and null ids stay or go
+    by their texts; an empty table stays empty.
+    """
     scored = toxicity.score(docs, "doc_id", "text", table(spark, sf_dir, "labels"), "doc_id", "toxic")
     return scored.where(F.col("score") < TOXIC_FROM).select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts (A-Z lower-cased) the one with the largest id."""
+    """Of documents with equal texts (A-Z lower-cased) the one with the largest id.
+
+    Null and empty texts are equal; any id is larger than null; of repeated rows one stays; an empty table
+    stays empty.
+    """
     return exact_dedup.mark_copies(docs, "doc_id", "text").where("kept").select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group that n-gram similarity links; ids may be null
-    or repeated, so rows get numbers of their own."""
+    """The document with the smallest id of each group that n-gram similarity links.
+
+    A null id is the smallest. Ids may be null or repeated, so rows get numbers of their own, and of equal ids
+    the first number stays. Texts without words are linked with none and stay. Texts are read where
+    they lie; only rows that may go are shuffled.
+    """
     numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     marked = ngram_join.similar_documents(numbered, "__row", "text").where("links > 0").select("__row", "class_id")
     linked = stage(numbered.select("__row", "doc_id").join(marked, "__row"), "linked")
     first = linked.groupBy("class_id").agg(F.min(F.struct("doc_id", "__row")).alias("first"))
     extra = linked.join(first, "class_id").where(F.col("first.__row") != F.col("__row")).select("__row")
-    return numbered.join(extra, "__row", "left_anti").select(docs.columns)
+    return ngram_join.drop_rows(numbered, "__row", stage(extra, "near-copies")).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target asks for, or not at all."""
-    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    mixed = mixing.mix(numbered, "__row", "source", "text", draw="doc_id").where("times > 0").select("__row", "times")
-    taken = numbered.join(mixed, "__row").withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return taken.select(docs.columns)
+    """Each document as often as its source's target asks for, or not at all.
+
+    Null sources are one source, null texts have no words and are never taken a part time; documents are drawn by
+    their ids, so that reruns agree, and rows of one id and size in any order. An empty table stays empty.
+    """
+    return mixing.take(docs, "source", "text", draw="doc_id")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of up to 1024 tokens and their places in the packed sequences."""
+    """Pieces of up to 1024 tokens and their places in the packed sequences.
+
+    A null text is an end token alone. Repeated rows are packed each; an empty table gives no pieces.
+    """
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(docs, "doc_id", "text", tokenizer).withColumnRenamed("id", "doc_id")
 
