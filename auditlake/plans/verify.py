@@ -20,7 +20,7 @@ from auditlake.operators.aggregates import (
 from auditlake.operators.joins import attach_lineage, match_objects, missing_ids
 from auditlake.schemas import MANIFEST, MANIFEST_VERSION
 from auditlake.session import path_exists, stage
-from auditlake.sources.archive import object_facts, read_manifests, scan_objects
+from auditlake.sources.archive import object_facts, object_folders, object_versions, read_manifests, scan_objects
 
 # Finding kinds that fail a verification; an object without manifest fails only in
 # strict mode, because a repeated batch may leave one behind.
@@ -52,17 +52,48 @@ class Verification:
         )
 
 
+def scanned(spark: SparkSession, root: str, ledger: str, line_ref) -> DataFrame:
+    """What each object holds, from the ledger where an object is unchanged since it was read.
+
+    The ledger keeps the counters of every object by key, size and time; with ``line_ref`` also those of its
+    identifiers, in a part of its own. Only objects that are not there in this version are inflated: their
+    folders alone are read. Of an object's versions the last that was read counts.
+    """
+    stored = f"{ledger.rstrip('/')}/{'lines' if line_ref is None else 'identifiers'}"
+    listed = stage(object_versions(spark, root), "listed-objects")
+    version = ["object_key", "compressed", "modified"]
+    if path_exists(spark, stored):
+        noted = spark.read.parquet(stored)
+        newest = noted.groupBy(*version).agg(F.max("run").alias("run"))
+        noted = noted.join(newest, [*version, "run"], "left_semi").join(listed, version, "left_semi")
+        new = stage(listed.join(newest, version, "left_anti"), "unverified-objects")
+    else:
+        noted, new = None, listed
+    if new.isEmpty():
+        return noted.drop("modified", "run") if noted is not None else scan_objects(spark, root, line_ref=line_ref)
+    paths = None if noted is None else object_folders(new, root)
+    found = scan_objects(spark, root, paths, line_ref=line_ref).join(new.select("object_key"), "object_key", "left_semi")
+    found = stage(found, "scan")
+    # An object that was replaced while it was read is not noted, and so read again.
+    found.join(new, ["object_key", "compressed"]).withColumn("run", F.current_timestamp()).write.mode("append").parquet(stored)
+    # The noted part was listed before the new one was written.
+    return found if noted is None else noted.drop("modified", "run").unionByName(found)
+
+
 def verify_archive(
-    spark: SparkSession, root: str, expected: DataFrame | None = None, strict: bool = False,
+    spark: SparkSession, root: str, expected: DataFrame | None = None, strict: bool = False, ledger: str | None = None
 ) -> Verification:
     """Check every object against its manifest and, where ``expected`` (`source, grp,
-    ord, id`) is given, every archived id against that list. The objects are read once."""
+    ord, id`) is given, every archived id against that list. The objects are read once, or, with the
+    folder of a ``ledger``, only those that are new or changed since it was last used."""
     if path_exists(spark, f"{root.rstrip('/')}/{MANIFESTS}"):
         manifests = read_manifests(spark, root)
     else:
         manifests = spark.createDataFrame([], f"manifest_path string, manifest struct<{_struct(MANIFEST)}>")
     manifests = stage(manifests, "manifests")
-    scan = stage(scan_objects(spark, root, line_ref=line_ref if expected is not None else None), "scan")
+    ref = line_ref if expected is not None else None
+    scan = scan_objects(spark, root, line_ref=ref) if ledger is None else scanned(spark, root, ledger, ref)
+    scan = stage(scan, "scan")
     objects = object_facts(scan)
     firsts, surplus = checks.usable_manifests(manifests)
     firsts = stage(firsts, "first-manifests")

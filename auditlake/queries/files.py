@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditlake.functions.ids import csv_row_id
 from auditlake.functions.payload import payload_map
 from auditlake.functions.times import rfc3339, rfc3339_seconds
 from auditlake.operators.aggregates import attempt_counts as count_attempts
@@ -23,6 +24,7 @@ from auditlake.plans.polls import (
     LogFileSpec,
     QuerySpec,
     file_outcomes as outcomes_of,
+    poll_all,
     poll_limits as run_limits,
     poll_log_files as run_log_files,
     poll_query as run_query,
@@ -92,8 +94,6 @@ def _day_files(spark: SparkSession, sf_dir: str, name: str) -> str:
     FROM t""")
 def csv_row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line numbers and ids of rows that span lines, one file per day."""
-    from auditlake.functions.ids import csv_row_id
-
     rows = read_log_files(spark, _day_files(spark, sf_dir, "daily"))
     return rows.select(
         "file_id", "line", csv_row_id(F.col("file_id"), F.col("line")).alias("row_id"),
@@ -371,6 +371,43 @@ def _collector(spark: SparkSession, name: str, **options) -> Collector:
     return Collector("main", "00D000000000001", root, State(spark, f"{root}/state"), "prod", **options)
 
 
+@query("""
+    WITH t AS (SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1)
+    SELECT status, CAST(n + 1 AS BIGINT) AS lines, TRUE AS ids_agree, '-quarantine' AS suffix FROM t""")
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of orders in which each has a stray quote, set aside line by line by the first poll that may give up."""
+    from datetime import timedelta
+
+    files, listing = workspace(spark, "stray"), workspace(spark, "stray-listing")
+    number = F.col("o_orderkey").cast("string")
+    rows = orders(spark, sf_dir).select(
+        F.col("o_orderstatus").alias("file_id"), F.concat(number, F.lit(',12" pipe')).alias("line"), F.col("o_orderkey").alias("place")
+    )
+    # One header and so one file for each status: a key holds a third of all rows, as a file does.
+    heads = rows.select("file_id").distinct().select("file_id", F.lit("number,text").alias("line"), F.lit(-1).alias("place"))
+    (
+        heads.unionByName(rows).repartition("file_id").sortWithinPartitions("file_id", "place").drop("place")
+        .write.partitionBy("file_id").text(files)
+    )
+    start = "2024-01-01T00:00:00.000+0000"
+    row = F.to_json(
+        F.struct(F.col("file_id").alias("Id"), F.lit("Login").alias("EventType"), F.lit(start).alias("CreatedDate"),
+                 F.lit(start).alias("LogDate"), F.lit("Hourly").alias("Interval"), F.lit(1).alias("Sequence"),
+                 F.lit(0.0).alias("LogFileLength"))
+    )
+    _write_pages(heads.select(F.lit("files").alias("q"), F.ascii("file_id").alias("n"), row.alias("row")), listing, "q", "n")
+    collector = _collector(spark, "stray-archive", initial=timedelta(days=90))
+    run_log_files(spark, collector, listing, files, NOW, LogFileSpec(malformed_attempts=1), per_line=True)
+    stored = read_archive(spark, collector.root)
+    fields = payload_map(F.col("payload"))
+    own = csv_row_id(F.regexp_extract("part_unit", "^elf-(.*)-quarantine$", 1), fields["lineNumber"].cast("bigint"))
+    return stored.groupBy(F.regexp_extract("part_unit", "^elf-(.*?)(-.*)?$", 1).alias("status")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.bool_and((F.col("event_id") == own) & (fields["quarantined"] == "true")).alias("ids_agree"),
+        F.max(F.regexp_extract("part_unit", "^elf-.*?(-.*)$", 1)).alias("suffix"),
+    )
+
+
 @query("""
     WITH t AS (SELECT *, strftime(ts, '%Y%m%d') AS file_id,
                       row_number() OVER (PARTITION BY strftime(ts, '%Y%m%d') ORDER BY event_id) + 1 AS line FROM events)
@@ -448,3 +485,27 @@ def poll_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     collector = _collector(spark, "poll-limits")
     run_limits(spark, collector, landing, NOW, per_line=True)
     return read_archive(spark, collector.root).select("event_id", "part_event_type", "part_year", "payload")
+
+
+@query("""
+    SELECT part, part <> 'broken' AS ok, CASE part WHEN 'broken' THEN 0 ELSE (SELECT count(*) FROM customer) END AS records
+    FROM (VALUES ('before'), ('broken'), ('after')) v(part)""")
+def poll_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three polls of which the second fails: the third runs, and the failure is told."""
+    landing = workspace(spark, "parts-snapshot")
+    table(spark, sf_dir, "customer").select(
+        F.to_json(F.create_map("c_name", F.struct(F.col("c_custkey").alias("Max"))))
+    ).write.text(landing)
+    collectors = {name: _collector(spark, f"parts-{name}") for name in ("before", "broken", "after")}
+    paths = {"before": landing, "broken": f"{landing}-missing", "after": landing}
+    parts = {
+        name: lambda c=c, name=name: run_limits(spark, c, paths[name], NOW, per_line=True) for name, c in collectors.items()
+    }
+    outcome = poll_all(spark, parts)
+    stored = [
+        read_archive(spark, collectors[name].root).agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("part"), "records")
+        for name in ("before", "after")
+    ]
+    return outcome.join(stored[0].unionByName(stored[1]), "part", "left").select(
+        "part", "ok", F.coalesce("records", F.lit(0)).alias("records")
+    )

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditlake.functions.payload import lineage_stream
-from auditlake.operators.verify import sorted_findings
-from auditlake.plans.compaction import compact_to_parquet
+from auditlake.operators.verify import manifests_without_key, sorted_findings
+from auditlake.plans.compaction import compact_to_parquet, update_copy
 from auditlake.plans.verify import verify_archive
 from auditlake.queries.registry import event_records, events, query
-from auditlake.session import workspace
-from auditlake.sinks.archive import archive_units, object_meta, touched_hours, write_archive
+from auditlake.session import stage, workspace
+from auditlake.sinks.archive import archive_units, object_meta, put_manifests, touched_hours, write_archive
 from auditlake.sources.api import read_expected_ids
 from auditlake.sources.archive import list_objects, read_manifests, raw_root
 from auditlake.state import QUERY, State
@@ -64,6 +64,25 @@ def compaction_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("event_id", "event_type")
 
 
+@query("""
+    SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(1 AS BIGINT) AS copies,
+           CAST(3 AS BIGINT) AS updates FROM events""")
+def compaction_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy that finds out by itself which objects it does not hold: events arrive in three parts with
+    repeats, and an update without news reads nothing."""
+    root, out = workspace(spark, "update"), workspace(spark, "update-curated")
+    rows = event_records(events(spark, sf_dir))
+    third = F.col("event_id").cast("bigint") % 3
+    updates = 0
+    for k in range(3):
+        # Each part repeats the one before it.
+        part = rows.where((third == k) | (third == k - 1)).withColumn("object_name", F.lit(f"part-{k}"))
+        write_archive(part, root)
+        updates += (update_copy(spark, root, out) > 0) + (update_copy(spark, root, out) > 0)
+    found = spark.read.parquet(out).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("copies"))
+    return found.withColumn("updates", F.lit(updates).cast("bigint"))
+
+
 def _described(spark: SparkSession, rows: DataFrame, name: str) -> str:
     root = workspace(spark, name)
     archive_units(rows, root, meta=object_meta(rows, lineage_stream(F.lit("/event/Test"), F.lit(""), F.lit(""))))
@@ -101,6 +120,48 @@ def verify_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("grp", "expected", "missing", "duplicates", F.array_join("missing_examples", ",").alias("examples"))
 
 
+@query("""
+    SELECT run, CAST(sum(CASE WHEN event_id % 2 < run THEN 1 ELSE 0 END) AS BIGINT) AS records,
+           CAST(sum(CASE WHEN event_id % 2 < run THEN 0 ELSE 1 END) AS BIGINT) AS missing, run = 2 AS ok
+    FROM events, (VALUES (1), (2)) v(run) GROUP BY run""")
+def verify_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two verifications with a ledger, of half of the events and of all: the second inflates new objects only."""
+    test_events = events(spark, sf_dir)
+    rows, root, ledger = event_records(test_events), workspace(spark, "again"), workspace(spark, "again-ledger")
+    expected = test_events.select(
+        F.lit("stream").alias("source"), F.lit("/event/Test").alias("grp"),
+        F.col("event_id").alias("ord"), F.col("event_id").cast("string").alias("id"),
+    )
+    lineage = lineage_stream(F.lit("/event/Test"), F.lit(""), F.lit(""))
+    runs = []
+    for k in range(2):
+        part = rows.where(F.col("event_id").cast("bigint") % 2 == k).withColumn("object_name", F.lit(f"half-{k}"))
+        archive_units(part, root, meta=object_meta(part, lineage))
+        report = verify_archive(spark, root, expected, ledger=ledger).report()
+        runs.append(stage(report.select(F.lit(k + 1).alias("run"), "records", "missing", "ok"), "verified"))
+    return runs[0].unionByName(runs[1])
+
+
+@query("""
+    SELECT event_type, CAST(count(*) AS BIGINT) AS records, 'manifest_mismatch' AS kind
+    FROM events GROUP BY event_type""")
+def verify_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests that name no object are findings of their own, and their objects have none."""
+    root = _described(spark, event_records(events(spark, sf_dir)), "keyless")
+    manifests = stage(read_manifests(spark, root).select("manifest.*"), "manifests")
+    put_manifests(manifests, root)  # as they are
+    keyless = manifests.select(*[F.lit("").alias(c) if c == "objectKey" else F.col(c) for c in manifests.columns])
+    other = workspace(spark, "keyless-other")
+    keyless.select(F.to_json(F.struct(*keyless.columns)).alias("value"), F.col("eventType").alias("event_type")).write.partitionBy(
+        "event_type"
+    ).option("maxRecordsPerFile", 1).text(f"{other}/manifests")
+    event_type = F.regexp_extract("manifest_path", r"event_type=([^/]*)", 1).alias("event_type")
+    read = stage(read_manifests(spark, other), "keyless")
+    found = manifests_without_key(read).withColumnRenamed("key", "manifest_path").select(event_type, "kind").distinct()
+    counts = read.groupBy(event_type).agg(F.sum("manifest.recordCount").alias("records"))
+    return counts.join(found, "event_type").select("event_type", "records", "kind")
+
+
 def _overwrite(spark: SparkSession, path: str, text: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
@@ -125,9 +186,10 @@ def verify_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _described(spark, event_records(events(spark, sf_dir)), "damaged")
     kind = F.regexp_extract("objectKey", r"event_type=([^/]*)", 1)
     objects = list_objects(spark, root).select(F.col("object_key").alias("objectKey"))
-    manifests = read_manifests(spark, root).select("manifest_path", "manifest.objectKey", "manifest")
-    # One object for each event type and unit.
-    for r in objects.join(manifests, "objectKey").select(kind.alias("kind"), "objectKey", "manifest_path", F.to_json("manifest").alias("text")).collect():
+    manifests = read_manifests(spark, root).select("manifest_path", "manifest.objectKey", F.to_json("manifest").alias("text"))
+    one = F.min(F.struct("objectKey", "manifest_path", "text")).alias("one")
+    # A row for each event type: of its objects one is damaged.
+    for r in objects.join(manifests, "objectKey").groupBy(kind.alias("kind")).agg(one).select("kind", "one.*").collect():
         path = f"{raw_root(root).rpartition('/raw')[0]}/{r.objectKey}"
         if r.kind == "click":
             _overwrite(spark, path, "no gzip data")

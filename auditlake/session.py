@@ -92,15 +92,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def trim_files(spark: SparkSession, folder: str, keep: int) -> None:
-    """Delete all but the newest data files of a folder in which each replaces those before it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = [f for f in store.listStatus(path) if f.getPath().getName().startswith("part-")]
-    for f in sorted(files, key=lambda f: f.getModificationTime())[: max(0, len(files) - keep)]:
-        store.delete(f.getPath(), False)
-
-
 def child_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the files in a folder; none where it does not exist."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -106,12 +106,31 @@ def list_objects(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def object_versions(spark: SparkSession, root: str) -> DataFrame:
+    """Key, size and time of every object: what tells its versions apart. No content is read."""
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw_root(root))
+        .select(
+            object_key_of(F.col("path")).alias("object_key"), F.col("length").alias("compressed"),
+            F.col("modificationTime").alias("modified"),
+        )
+    )
+
+
+def object_folders(objects: DataFrame, root: str) -> list[str]:
+    """The folders that hold some objects (`object_key`)."""
+    folder = F.regexp_extract("object_key", "^(.*)/[^/]*$", 1).alias("folder")
+    return [f"{root.rstrip('/')}/{r.folder}" for r in objects.select(folder).distinct().toLocalIterator()]
+
+
 # --- object scan -------------------------------------------------------------------
 
 # The Python functions below travel to the executors by value: they need neither this
 # package installed there nor a shared working directory.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# A gzip object is read whole by one task; a larger one is reported, not read.
+MAX_OBJECT_BYTES = 1 << 30
 _SLICE = 1 << 20
 _BLOCK = 4 << 20
 _OBJECT_LINES = pa.schema(
@@ -179,8 +198,9 @@ def _split_objects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _object_files(
-    spark: SparkSession, root: str, paths: Sequence[str] | None, unit: str | None
+    spark: SparkSession, root: str, paths: Sequence[str] | None, unit: str | None, too_large: bool = False
 ) -> DataFrame:
+    """Objects with their content, or those whose content is too large to be read, without it."""
     reader = spark.read.format("binaryFile")
     if paths is None:
         files = reader.option("recursiveFileLookup", "true").load(raw_root(root))
@@ -189,9 +209,10 @@ def _object_files(
         if unit is not None:
             # The unit itself or its flushes.
             files = files.where((F.col("unit") == unit) | F.col("unit").startswith(f"{unit}-"))
-    return files.select(
-        object_key_of(F.col("path")).alias("object_key"), F.col("length"), F.col("content")
-    )
+    size, names = F.col("length"), [object_key_of(F.col("path")).alias("object_key"), F.col("length")]
+    if too_large:
+        return files.where(size > MAX_OBJECT_BYTES).select(*names)
+    return files.where(size <= MAX_OBJECT_BYTES).select(*names, "content")
 
 
 def _undecodable(line: Column) -> Column:
@@ -283,8 +304,13 @@ def scan_objects(
             F.when(F.col("is_line"), F.col("header.event_type")).alias("line_type"),
             F.when(F.col("is_line"), line_ref(source, payload_of(F.col("text")))).alias("line_id"),
         ]
-    counted = lines.groupBy("tag", *keys).agg(*_measures(), F.count_if(bad).alias("bad_lines"))
-    return _untagged(counted)
+    counted = _untagged(lines.groupBy("tag", *keys).agg(*_measures(), F.count_if(bad).alias("bad_lines")))
+    size = F.col("length").cast("string")
+    large = _object_files(spark, root, paths, unit, too_large=True).select(
+        "object_key", F.col("length").alias("compressed"), F.lit(0).cast("bigint").alias("records"),
+        F.lit(0).cast("bigint").alias("bad_lines"), F.concat(F.lit("too large to be read: bytes "), size).alias("error"),
+    )
+    return counted.unionByName(large, allowMissingColumns=True)
 
 
 def object_facts(scan: DataFrame) -> DataFrame:

@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 
 from auditlake.functions.times import ts_lit, utc, watermark_time
 from auditlake.schemas import ATTEMPTS, MARKERS, WATERMARKS
-from auditlake.session import child_names, delete_path, path_exists, trim_files
+from auditlake.session import child_names, delete_path, path_exists
 
 # Fixed value: how long de-duplication markers live.
 MARKER_TTL = timedelta(days=7)
 
 # Versions of a watermark that are kept; only the newest counts, readers may hold an older listing.
 VERSIONS_KEPT = 20
+# So many changes of the failure counters are read one by one; then they become one table again.
+CHANGES_KEPT = 20
 
 LOG_FILES = "log_files"
 QUERY = "query"
@@ -70,8 +72,10 @@ class State:
             F.lit(instance).alias("instance"), F.lit(kind).alias("kind"), F.lit(scope).alias("scope"),
             millis.cast("string").alias("value"), F.lit(last + 1).cast("bigint").alias("version"),
         )
-        row.coalesce(1).write.mode("append").parquet(path)
-        trim_files(self.spark, path, VERSIONS_KEPT)
+        # A folder for each version: the order is in the names, whatever times the store gives.
+        row.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_versioned('v', last + 1)}")
+        for name in sorted(n for n in child_names(self.spark, path) if n.startswith("v-"))[:-VERSIONS_KEPT]:
+            delete_path(self.spark, f"{path}/{name}")
 
     def reset(
         self, instance: str, known: Sequence[str], keys: Sequence[str] | str, confirm: bool, kind: str = QUERY
@@ -141,9 +145,20 @@ class State:
 
     # --- attempts -----------------------------------------------------------------------
 
+    def _attempt_folders(self, path: str) -> tuple[list[str], list[str]]:
+        """What makes up the counters, the last whole table and the changes after it; and what is older."""
+        names = sorted(child_names(self.spark, path), key=lambda n: (n.rpartition("-")[2], n))
+        names = [n for n in names if n.startswith(("change-", "whole-")) and path_exists(self.spark, f"{path}/{n}/_SUCCESS")]
+        at = max((i for i, n in enumerate(names) if n.startswith("whole-")), default=0)
+        return names[at:], names[:at]
+
     def attempts(self, instance: str, kind: str) -> DataFrame:
         """Current failure count per key."""
-        log = self._read(self.path("attempts", instance, kind), ATTEMPTS)
+        path = self.path("attempts", instance, kind)
+        names, _ = self._attempt_folders(path)
+        if not names:
+            return self.spark.createDataFrame([], "key string, n int, version bigint")
+        log = self.spark.read.schema(ATTEMPTS).parquet(*[f"{path}/{n}" for n in names])
         return (
             log.groupBy("key")
             .agg(F.max_by("n", "version").alias("n"), F.max("version").alias("version"))
@@ -151,14 +166,31 @@ class State:
         )
 
     def set_attempts(self, counts: DataFrame, instance: str, kind: str) -> None:
-        """``counts``: key, n. Zero clears a key."""
+        """``counts``: key, n. Zero clears a key.
+
+        A change is a folder of its own. After `CHANGES_KEPT` of them the counters are written as one
+        table, without cleared keys; what it replaces is deleted with the next one, so that readers
+        with an older listing find it.
+        """
         path = self.path("attempts", instance, kind)
-        last = self._read(path, ATTEMPTS).agg(F.max("version").alias("v")).head().v or 0
-        rows = counts.select(
-            F.lit(instance).alias("instance"), F.lit(kind).alias("kind"), "key",
-            F.col("n").cast("int").alias("n"), F.lit(last + 1).cast("bigint").alias("version"),
-        )
-        rows.write.mode("append").parquet(path)
+        names, older = self._attempt_folders(path)
+        last = int(names[-1].rpartition("-")[2]) if names else 0
+
+        def put(rows: DataFrame, what: str, version: int) -> None:
+            rows.select(
+                F.lit(instance).alias("instance"), F.lit(kind).alias("kind"), "key",
+                F.col("n").cast("int").alias("n"), F.lit(version).cast("bigint").alias("version"),
+            ).write.mode("overwrite").parquet(f"{path}/{_versioned(what, version)}")
+
+        put(counts, "change", last + 1)
+        if len(names) >= CHANGES_KEPT:
+            put(self.attempts(instance, kind), "whole", last + 2)
+            for name in older:
+                delete_path(self.spark, f"{path}/{name}")
+
+
+def _versioned(what: str, version: int) -> str:
+    return f"{what}-{version:012d}"
 
 
 def latest_watermarks(log: DataFrame) -> DataFrame:

@@ -319,3 +319,106 @@ def test_a_timeline_has_events_that_arrived_late(spark, root):
     rows = read_archive(spark, root)
     assert timeline(rows, datetime(2027, 5, 4), "x", F.lit("x")).count() == 4
     assert timeline(rows, datetime(2027, 5, 4), "x", F.lit("x"), slack_hours=24).count() == 2
+
+
+def _compacted(spark, out):
+    rows = spark.read.parquet(out).select("event_id", "org_id", F.col("event_date").cast("string").alias("day"))
+    return sorted((r.event_id, r.org_id, r.day) for r in rows.collect())
+
+
+def test_update_of_the_copy_reads_new_folders_only(spark, root, tmp_path, monkeypatch):
+    from auditlake.plans import compaction
+
+    out, seen = str(tmp_path / "curated"), []
+    original = compaction.read_archive
+
+    def reading(spark, root, paths=None, units=True):
+        seen.append(paths)
+        return original(spark, root, paths, units)
+
+    monkeypatch.setattr(compaction, "read_archive", reading)
+    write_archive(records(spark, 5, unit="a"), root)
+    write_archive(records(spark, 2, unit="blank").withColumn("event_id", F.lit("")), root)
+    write_archive(records(spark, 3, unit="other", prefix="x").withColumn("timestamp", F.lit(datetime(2026, 1, 2)).cast("timestamp")), root)
+    assert compaction.update_copy(spark, root, out) == 3 and seen == [None]
+    assert compaction.update_copy(spark, root, out) == 0 and seen == [None]
+    old = {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{out}/event_date=2026-01-02/**/part-*", recursive=True)}
+    # Repeats of old ids, new ids on an old date, a new date, and a record without a time.
+    write_archive(records(spark, 8, unit="b"), root)
+    write_archive(records(spark, 1, unit="c", prefix="n").withColumn("timestamp", F.lit(None).cast("timestamp")), root)
+    assert compaction.update_copy(spark, root, out) == 2
+    assert sorted(p.rpartition("unit=")[2] for p in seen[-1]) == ["b", "c"]
+    # A date without news is not written again.
+    assert {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{out}/event_date=2026-01-02/**/part-*", recursive=True)} == old
+    # A unit that is written again with other records takes the place of its rows.
+    write_archive(records(spark, 2, unit="other", prefix="y").withColumn("timestamp", F.lit(datetime(2026, 1, 3)).cast("timestamp")), root)
+    assert compaction.update_copy(spark, root, out) == 1
+    got = [e for e, _, _ in _compacted(spark, out)]
+    assert got == ["", "", *[f"e{i}" for i in range(8)], "n0", "y0", "y1"]
+    # An update that was cut off is made good from the whole archive.
+    os.makedirs(f"{out}-objects-pending")
+    want = _compacted(spark, out)
+    assert compaction.update_copy(spark, root, out) == 5 and seen[-1] is None
+    assert _compacted(spark, out) == want
+    assert not os.path.exists(f"{out}-objects-pending")
+
+
+@pytest.mark.parametrize("ledgers", [False, True])
+def test_second_verification_reads_new_objects_only(spark, root, tmp_path, monkeypatch, ledgers):
+    from auditlake.plans import verify
+
+    seen, notes = [], str(tmp_path / "notes")
+    original = verify.scan_objects
+
+    def scanning(spark, root, paths=None, **how):
+        seen.append(paths)
+        return original(spark, root, paths, **how)
+
+    monkeypatch.setattr(verify, "scan_objects", scanning)
+    ids = [f"e{i}" for i in range(9)] if ledgers else None
+    expected = spark.createDataFrame([("stream", "/event/T", i, v) for i, v in enumerate(ids)], "source string, grp string, ord int, id string") if ids else None
+    for k, unit in enumerate(("a", "b")):
+        df = records(spark, 3, unit=unit, prefix="e").withColumn("event_id", F.concat(F.lit(unit), "event_id"))
+        archive_units(df, root, meta=topic_meta(df))
+        run = verify_archive(spark, root, expected, ledger=notes)
+        plain = verify_archive(spark, root, expected)
+        assert run.report().head() == plain.report().head()
+        assert seen[-2] is None if k == 0 else [p.rpartition("unit=")[2] for p in seen[-2]] == ["b"]
+    calls = len(seen)
+    verify_archive(spark, root, expected, ledger=notes).report().collect()
+    assert len(seen) == calls  # nothing is read again
+    # An object that changed is, and one that is gone is missed.
+    first, second = data_files(root)
+    for name in (first, second):  # Hadoop's checksums of local files
+        Path(name).with_name(f".{Path(name).name}.crc").unlink()
+    Path(first).write_bytes(b"no gzip data at all")
+    os.unlink(second)
+    found = {(r.kind, r.key.rpartition("unit=")[2][:1]) for r in verify_archive(spark, root, expected, ledger=notes).findings.collect()}
+    assert found == {("unreadable_object", "a"), ("manifest_without_object", "b")}
+
+
+def test_an_object_too_large_to_be_read_is_a_finding(spark, root, monkeypatch):
+    from auditlake.sources import archive
+
+    small, large = records(spark, 1, unit="small"), records(spark, 40, unit="large").withColumn("payload_json", F.format_string('{"x":"%s"}', F.sha2("event_id", 512)))
+    for df in (small, large):
+        archive_units(df, root, meta=topic_meta(df))
+    sizes = {f.rpartition("unit=")[2][:5]: os.path.getsize(f) for f in data_files(root)}
+    monkeypatch.setattr(archive, "MAX_OBJECT_BYTES", sizes["large"] - 1)
+    row = verify_archive(spark, root).findings.head()
+    assert (row.kind, row.detail) == ("unreadable_object", f"too large to be read: bytes {sizes['large']}")
+    assert "unit=large" in row.key
+
+
+def test_failure_counters_stay_few_files(spark, tmp_path):
+    from auditlake.state import CHANGES_KEPT, State
+
+    state = State(spark, str(tmp_path / "state"))
+    want = {}
+    for i in range(2 * CHANGES_KEPT + 5):
+        key, n = f"k{i % 7}", i % 4
+        state.set_attempts(spark.createDataFrame([(key, n)], "key string, n int"), "main", "malformed")
+        want[key] = n
+    got = {r.key: r.n for r in state.attempts("main", "malformed").collect()}
+    assert got == {k: n for k, n in want.items() if n}
+    assert len(os.listdir(state.path("attempts", "main", "malformed"))) <= 2 * CHANGES_KEPT + 4
