@@ -254,7 +254,107 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query()
+# A path is its cost in nine digits and its letters, so the least text is the cheapest path, ties by letters.
+def _edit(path: str, cost: str, letter: str) -> str:
+    return f"(lpad((substr({path}, 1, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({path}, 10) || '{letter}')"
+
+
+def _inserted(e: str, s: str, u: str, a: str) -> str:
+    """The paths of the states (nothing yet, after s, after u, after a) with insertions behind them."""
+    step = lambda x: _edit(x, "3", "I")
+    return f"""
+        SELECT * REPLACE (least(u, {step("a")}) AS u) FROM (
+            SELECT * REPLACE (least(a, {step("u")}) AS a) FROM (
+                SELECT * EXCLUDE (e0, s0, u0, a0), e0 AS e, s0 AS s,
+                       least(u0, {step("e0")}, {step("s0")}, {step("a0")}) AS u, a0 AS a
+                FROM (SELECT *, {e} AS e0, {s} AS s0, {u} AS u0, {a} AS a0 FROM _from_)))"""
+
+
+def _kept(path: str, initial: str) -> str:
+    return f"CASE WHEN NOT must AND initial = '{initial}' THEN {_edit(path, 'extra', 'K')} END"
+
+
+def _reroled(path: str) -> str:
+    return f"CASE WHEN NOT must THEN {_edit(path, '3 + extra', 'R')} END"
+
+
+def _deleted(path: str) -> str:
+    return _edit(path, "4", "D")
+
+
+_REPAIR_SQL = rf"""
+    WITH RECURSIVE crc_table AS (
+        SELECT list(c ORDER BY i) AS entries FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+            FROM range(256) r(i))),
+    keyed AS (
+        SELECT *, hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS h,
+               dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c
+        FROM conversations),
+    coded AS (
+        SELECT c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               xor(4294967295, list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2), lambda p: ('0x' || substr(h, p, 2))::BIGINT)),
+                   lambda r, b: xor(entries[xor(r & 255, b) + 1], r >> 8))) % 20 AS what
+        FROM keyed, crc_table),
+    damaged AS (
+        SELECT c, turn, CASE what WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM coded, range(2) t(again) WHERE what <> 0 AND (again = 0 OR what = 3)),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, encode(role), encode(text)) AS pos FROM damaged),
+    faults AS (
+        SELECT *, substr(role, 1, 1) AS initial, rtrim(text, E' 	
+') AS body,
+               row_number() OVER (PARTITION BY c, role, text ORDER BY pos) > 1 AS again FROM placed),
+    facts AS (
+        SELECT *, body = '' AS blank, body <> '' AND again AS duplicate,
+               body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated, blank OR duplicate AS must,
+               CASE WHEN truncated THEN 3 ELSE 0 END AS extra,
+               lag(initial) OVER (PARTITION BY c ORDER BY pos) AS before
+        FROM faults),
+    dp AS (
+        SELECT c, 0::BIGINT AS pos, e, s, u, a FROM ({_inserted("'000000000'", "NULL::VARCHAR", "NULL::VARCHAR", "NULL::VARCHAR").replace("_from_", "(SELECT DISTINCT c FROM coded)")})
+        UNION ALL
+        SELECT c, pos, e, s, u, a FROM ({
+    _inserted(
+        _deleted("e"),
+        f"least({_deleted('s')}, {_kept('e', 's')})",
+        "least(" + ", ".join([_deleted("u"), *(_reroled(x) for x in "esa"), *(_kept(x, "u") for x in "esa")]) + ")",
+        f"least({_deleted('a')}, {_reroled('u')}, {_kept('u', 'a')})",
+    ).replace("_from_", "(SELECT f.c, f.pos, f.initial, f.must, f.extra, d.e, d.s, d.u, d.a FROM dp d JOIN facts f ON f.c = d.c AND f.pos = d.pos + 1)").replace("* EXCLUDE (e0, s0, u0, a0)", "c, pos")
+})),
+    best AS (
+        SELECT c, least(e, a) AS path, substr(path, 1, 9)::BIGINT AS cost, substr(path, 10) AS audit
+        FROM dp WHERE pos = (SELECT count(*) FROM facts f WHERE f.c = dp.c)),
+    letters AS (
+        SELECT c, j, substr(audit, j, 1) AS letter FROM (SELECT c, audit, unnest(range(1, len(audit) + 1)) AS j FROM best)),
+    edits AS (
+        SELECT *, count(*) FILTER (letter <> 'I') OVER w AS pos, count(*) FILTER (letter <> 'D') OVER w AS k
+        FROM letters WINDOW w AS (PARTITION BY c ORDER BY j)),
+    lines AS (
+        SELECT d.c, d.j, d.k, d.letter, f.role, f.text, f.initial,
+               bool_or(d.k = 1 AND d.letter = 'K' AND f.initial = 's') OVER (PARTITION BY d.c) AS has_s
+        FROM edits d LEFT JOIN facts f ON f.c = d.c AND f.pos = d.pos WHERE d.letter <> 'D'),
+    repaired AS (
+        SELECT c, string_agg(CASE WHEN letter = 'K' THEN role WHEN (k % 2 = 0) = has_s THEN 'user' ELSE 'assistant' END
+                             || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS whole
+        FROM lines GROUP BY c),
+    counts AS (
+        SELECT c, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+               count(*) FILTER (truncated) AS truncated,
+               count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+               coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+        FROM facts GROUP BY c)
+    SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+           sha256(coalesce(whole, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT c, conv_id FROM coded) JOIN best USING (c) LEFT JOIN counts USING (c) LEFT JOIN repaired USING (c)
+    """
+
+
+@query(_REPAIR_SQL)
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     hurt = conversation_repair.damage(rows, "conv_id", "turn", "role", "text")
