@@ -15,7 +15,7 @@ from auditlake.operators.aggregates import top_values
 from auditlake.operators.filters import partition_filter
 from auditlake.operators.joins import attach_lineage
 from auditlake.operators.records import timeline
-from auditlake.plans.compaction import compact_to_parquet
+from auditlake.plans.compaction import compact_to_parquet, copy_timeline, member
 from auditlake.plans.verify import verify_archive
 from auditlake.queries.registry import (
     ARRIVAL,
@@ -215,6 +215,36 @@ def user_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    SELECT {TS6} AS ts, event_type, CAST(event_id AS VARCHAR) AS event_id, props
+    FROM events
+    WHERE user_id = 8 AND ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-03'""")
+def user_timeline_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One user's day from the Parquet copy."""
+    out = workspace(spark, "timeline-copy")
+    compact_to_parquet(spark, stored_events(spark, sf_dir, "timeline-archive"), out)
+    return copy_timeline(spark, out, datetime(2024, 1, 2), "8").select(
+        text6(F.col("timestamp")).alias("ts"), "event_type", "event_id",
+        F.regexp_replace(F.get_json_object("payload", "$.props"), ":", ": ").alias("props"),
+    )
+
+
+@query("""
+    SELECT event_type, CAST(count(*) AS BIGINT) AS records, CAST(sum(CAST(props->>'$.k' AS BIGINT)) AS BIGINT) AS k,
+           CAST(count(props->>'$.none') AS BIGINT) AS without, max(CAST(user_id AS VARCHAR)) AS user
+    FROM events GROUP BY event_type""")
+def payload_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of nested payloads, from the copy that holds them taken apart."""
+    out = workspace(spark, "members-copy")
+    compact_to_parquet(spark, stored_events(spark, sf_dir, "members-archive"), out)
+    return spark.read.parquet(out).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum(member("$.props.k", "bigint")).alias("k"),
+        F.count(member("$.props.none", "string")).alias("without"),
+        F.max(member("$.USER_ID", "string")).alias("user"),
+    )
+
+
 # --- streams ---------------------------------------------------------------------------
 
 

@@ -422,3 +422,50 @@ def test_failure_counters_stay_few_files(spark, tmp_path):
     got = {r.key: r.n for r in state.attempts("main", "malformed").collect()}
     assert got == {k: n for k, n in want.items() if n}
     assert len(os.listdir(state.path("attempts", "main", "malformed"))) <= 2 * CHANGES_KEPT + 4
+
+
+def test_one_users_day_reads_few_rows_of_the_copy(spark, root, tmp_path):
+    """Files are sorted by user: only the pages that can hold one are read."""
+    from auditlake.plans.compaction import copy_timeline, member
+
+    out, n = str(tmp_path / "curated"), 20_000
+    rows = spark.range(n).select(
+        F.concat(F.lit("e"), "id").alias("event_id"), F.lit("Login").alias("event_type"),
+        F.lit(datetime(2026, 9, 15, 1)).cast("timestamp").alias("timestamp"), F.lit("stream").alias("source"),
+        F.lit("prod").alias("env"), F.lit("00D").alias("org_id"), F.lit("main").alias("instance"),
+        F.lit(None).cast("string").alias("replay_id"),
+        F.format_string('{"USER_ID":"u%d","at":{"place":[%d,2]}}', F.pmod("id", F.lit(500)), F.col("id")).alias("payload_json"),
+        F.lit(T0).cast("timestamp").alias("partition_time"), F.lit("unit").alias("object_name"), F.lit(None).cast("string").alias("object_type"),
+    )
+    write_archive(rows, root)
+    spark.conf.set("parquet.page.size.row.count.limit", "500")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.page.row.count.limit", "500")
+    try:
+        compact_to_parquet(spark, root, out)
+    finally:
+        spark.conf.unset("parquet.page.size.row.count.limit")
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.page.row.count.limit")
+    day = copy_timeline(spark, out, datetime(2026, 9, 15), "u77")
+    assert day.count() == n // 500
+    found = day.select("event_id", member("$.at.place[0]", "bigint").alias("p"), member("$.at.none", "bigint").alias("q"))
+    found.write.format("noop").mode("overwrite").save()
+    rows = found.collect()
+    assert all(r.p == int(r.event_id[1:]) and r.q is None for r in rows)
+
+    def scans(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return scans(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return scans(plan.plan())
+        if "Scan" in name:
+            return [plan.metrics().apply("numOutputRows").value()]
+        kids = plan.children()
+        return [m for i in range(kids.size()) for m in scans(kids.apply(i))]
+
+    executed = found._jdf.queryExecution().executedPlan()
+    found._jdf.collectToPython()
+    read = sum(scans(executed))
+    assert 0 < read <= n / 5
+    nobody = copy_timeline(spark, out, datetime(2026, 9, 15), "v1")
+    assert nobody.count() == 0
