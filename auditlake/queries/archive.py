@@ -343,20 +343,20 @@ def stream_two_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, {TS6} AS ts FROM events""")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed with repeats, each passed on once by a streaming query."""
-    landing, out, checkpoint = (workspace(spark, n) for n in ("repeats", "once", "once-checkpoint"))
+    landing, out = workspace(spark, "repeats"), workspace(spark, "once")
     rows = event_records(events(spark, sf_dir)).select("event_id", "event_type", "timestamp")
-    # Three runs, one after the other; the second has repeats.
+    # Parts that land one after the other, each file a batch; the second has repeats of both others.
     again = rows.where(F.col("event_type").isin("purchase", "error"))
     for part in (rows.where("event_id % 2 = 0"), again, rows.where("event_id % 2 = 1")):
         part.write.mode("append").parquet(landing)
-        (
-            dedup_stream(spark.readStream.schema(rows.schema).parquet(landing))
-            .writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start(out)
-            .awaitTermination()
-        )
+    (
+        dedup_stream(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landing))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", workspace(spark, "once-checkpoint"))
+        .trigger(availableNow=True)
+        .start(out)
+        .awaitTermination()
+    )
     return spark.read.schema(rows.schema).parquet(out).select(
         "event_id", "event_type", text6(F.col("timestamp")).alias("ts")
     )

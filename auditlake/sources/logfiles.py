@@ -3,14 +3,20 @@
 A quoted field may span lines, so a CSV file is usually read by one task from
 start to end. Here the files are read as plain lines, which Spark can split, and
 the two things that need what came before - the line number and whether a line
-starts inside quotes - are running sums: first inside one input split, then over
-the few splits of a file. No step brings a whole file to one task.
+starts inside quotes - are running sums: first inside one input split, by the task
+that reads it, then over the few splits of a file. Lines stay in the tasks that read them;
+only the totals of the splits are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,6 +34,9 @@ QUOTED_SPAN = rf'{QUOTED_OPEN}(?:"|$)'
 INSIDE_HEAD = r'^[^"]*+(?:""[^"]*+)*+(?:"|$)'
 ONE_FIELD = rf',(?:{QUOTED_OPEN}"|{BARE})'
 
+# Totals of splits, of some hundred bytes each, that are sent to the tasks: for 12 TB in splits of 128 MB.
+SPLITS_SENT = 100_000
+
 BAD_QUOTES = "bare or unterminated quote"
 BAD_COUNT = "wrong number of fields"
 
@@ -42,6 +51,48 @@ def _count(text: Column, char: str) -> Column:
     return F.length(text) - F.length(F.translate(text, char, ""))
 
 
+# The Python functions below travel to the executors by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+_PLACED = [("quotes", pa.int64()), ("blank", pa.bool_()), ("odd", pa.bool_()), ("local_no", pa.int64()),
+           ("starts_out", pa.int64()), ("starts_in", pa.int64())]
+PLACED = (
+    "path string, block bigint, file_size bigint, raw string, quotes bigint, blank boolean, odd boolean, local_no bigint,"
+    " starts_out bigint, starts_in bigint"
+)
+
+
+def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of input splits, in order, with what came before them in their split: quotes (odd or even), lines,
+    and records started so far, for both answers to "does the split start in quotes?"."""
+    current, sums = None, (0, 0, 0, 0)
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        path, block, raw = batch.column("path"), batch.column("block").to_numpy(), batch.column("raw")
+        quotes = pc.count_substring(raw, '"').to_numpy(zero_copy_only=False).astype(np.int64)
+        blank = pc.is_in(raw, pa.array(["", "\r"])).to_numpy(zero_copy_only=False)
+        names = path.dictionary_encode().indices.to_numpy()
+        starts = np.flatnonzero((np.diff(names, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0)).tolist()
+        odd, line, out, inside = np.empty(n, bool), *(np.empty(n, np.int64) for _ in range(3))
+        for a, z in zip(starts, [*starts[1:], n]):
+            own = (path[a].as_py(), int(block[a]))
+            if own != current:
+                current, sums = own, (0, 0, 0, 0)
+            part = slice(a, z)
+            seen = sums[0] + np.cumsum(quotes[part])
+            odd[part] = (seen - quotes[part]) % 2 == 1
+            line[part] = sums[1] + np.arange(1, z - a + 1)
+            out[part] = sums[2] + np.cumsum(~odd[part] & ~blank[part])
+            inside[part] = sums[3] + np.cumsum(odd[part] & ~blank[part])
+            sums = (int(seen[-1]), int(line[z - 1]), int(out[z - 1]), int(inside[z - 1]))
+        columns = [pa.array(c, t) for c, (_, t) in zip((quotes, blank, odd, line, out, inside), _PLACED)]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, *columns], names=[*batch.schema.names, *(name for name, _ in _PLACED)]
+        )
+
+
 def _split_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines of all files with their place inside the input split they belong to."""
     raw = (
@@ -53,30 +104,17 @@ def _split_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             F.col("_metadata.file_block_start").alias("block"),
             F.col("_metadata.file_size").alias("file_size"),
             F.col("value").alias("raw"),
-            F.monotonically_increasing_id().alias("seq"),
         )
-        .withColumn("quotes", _count(F.col("raw"), '"'))
-        .withColumn("blank", F.col("raw").isin("", "\r"))
-    )
-    in_split = W.partitionBy("path", "block").orderBy("seq")
-    before = in_split.rowsBetween(W.unboundedPreceding, -1)
-    upto = in_split.rowsBetween(W.unboundedPreceding, W.currentRow)
-    lines = raw.withColumn(
-        "odd", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1
-    ).withColumn("local_no", F.row_number().over(in_split))
-    # Records started so far, for both answers to "does the split start in quotes?".
-    starts_out = (~F.col("odd") & ~F.col("blank")).cast("bigint")
-    starts_in = (F.col("odd") & ~F.col("blank")).cast("bigint")
-    return lines.withColumns(
-        {
-            "starts_out": F.sum(starts_out).over(upto),
-            "starts_in": F.sum(starts_in).over(upto),
-        }
     )
+    return raw.mapInArrow(_place, PLACED)
 
 
 def csv_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Every physical line with its number, quote state and record number."""
+    """Every physical line with its number, quote state and record number.
+
+    The files are read twice, once for the totals of their splits. These are sent to the lines where they are
+    few by count; otherwise the lines are shuffled to them.
+    """
     lines = _split_lines(spark, paths)
     splits = lines.groupBy("path", "block").agg(
         F.max("local_no").alias("n"),
@@ -105,6 +143,9 @@ def csv_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         # A byte order mark is not part of the lines read.
         (F.col("size") - F.col("file_bytes")).isin(0, 3).alias("ends_with_newline"),
     )
+    splits = stage(splits, "csv-splits")
+    if splits.count() <= SPLITS_SENT:
+        splits = F.broadcast(splits)
     line_no = F.col("line_offset") + F.col("local_no")
     in_quote = F.col("odd") != F.col("split_odd")
     local_starts = F.when(F.col("split_odd"), F.col("starts_in")).otherwise(F.col("starts_out"))
