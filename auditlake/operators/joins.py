@@ -69,7 +69,7 @@ def attach_schema(events: DataFrame, schemas: DataFrame, key: str = "schema_id")
         schemas.select(key, F.col("schema_name").alias("found_name")), key, "left"
     )
     missing = F.raise_error(
-        F.concat(F.lit("fetching schema "), F.coalesce(F.col(key), F.lit("(none)")), F.lit(": not found"))
+        F.concat(F.lit("no schema is known by the id "), F.coalesce(F.col(key), F.lit("(none)")))
     ).cast("string")
     name: Column = F.when(F.col("found_name").isNull(), missing).otherwise(F.col("found_name"))
     return joined.withColumn("schema_name", name).drop("found_name")

@@ -17,8 +17,8 @@ def _number_diff(what: str, actual: Column, stated: Column) -> Column:
     return F.when(
         ~actual.eqNullSafe(stated),
         F.concat(
-            F.lit(f"{what} "), actual.cast("string"),
-            F.lit(" != manifest "), F.coalesce(stated.cast("string"), F.lit("(none)")),
+            F.lit(f"{what}: "), actual.cast("string"),
+            F.lit(" found, "), F.coalesce(stated.cast("string"), F.lit("none")), F.lit(" stated"),
         ),
     )
 
@@ -34,11 +34,11 @@ def manifest_diff(
     )
     return F.concat_ws(
         "; ",
-        _number_diff("record count", records, manifest["recordCount"]),
-        _number_diff("compressed bytes", compressed, manifest["compressedBytes"]),
-        _number_diff("uncompressed bytes", uncompressed, manifest["uncompressedBytes"]),
-        F.when(~sha256.eqNullSafe(manifest["sha256"]), F.lit("sha256 mismatch")),
-        F.when(~times_equal, F.lit("first/last timestamp mismatch")),
+        _number_diff("lines", records, manifest["recordCount"]),
+        _number_diff("stored bytes", compressed, manifest["compressedBytes"]),
+        _number_diff("bytes of text", uncompressed, manifest["uncompressedBytes"]),
+        F.when(~sha256.eqNullSafe(manifest["sha256"]), F.lit("another checksum")),
+        F.when(~times_equal, F.lit("another time range")),
     )
 
 

@@ -235,14 +235,14 @@ def file_outcomes(
     reason = (
         F.when(
             missing & F.col("status").isNotNull(),
-            F.concat(F.lit("Error "), F.col("status").cast("string"), F.lit(", body: "), F.coalesce("body", F.lit(""))),
+            F.concat(F.lit("HTTP "), F.col("status").cast("string"), F.lit(": "), F.coalesce("body", F.lit(""))),
         )
-        .when(missing, F.lit("not downloaded"))
+        .when(missing, F.lit("nothing has landed"))
         .when(
             partial,
             F.concat(
-                F.lit("downloaded "), F.col("length").cast("string"),
-                F.lit(" bytes, expected LogFileLength "), F.col("LogFileLength").cast("bigint").cast("string"),
+                F.lit("has "), F.col("length").cast("string"),
+                F.lit(" bytes where its listing says "), F.col("LogFileLength").cast("bigint").cast("string"),
             ),
         )
         .otherwise(F.col("bad_reason"))

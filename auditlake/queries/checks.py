@@ -72,11 +72,11 @@ def zero_times(spark: SparkSession, sf_dir: str) -> DataFrame:
                WHERE value < 60 GROUP BY 1)
     SELECT CAST(o.k AS VARCHAR) AS key,
            concat_ws('; ',
-             CASE WHEN o.n <> m.n THEN 'record count ' || o.n || ' != manifest ' || m.n END,
-             CASE WHEN o.n <> m.n THEN 'compressed bytes ' || o.n * 7 || ' != manifest ' || m.n * 7 END,
-             CASE WHEN o.n <> m.n THEN 'uncompressed bytes ' || o.n * 70 || ' != manifest ' || m.n * 70 END,
-             CASE WHEN o.n <> m.n THEN 'sha256 mismatch' END,
-             CASE WHEN o.a <> m.a OR o.b <> m.b THEN 'first/last timestamp mismatch' END) AS detail
+             CASE WHEN o.n <> m.n THEN 'lines: ' || o.n || ' found, ' || m.n || ' stated' END,
+             CASE WHEN o.n <> m.n THEN 'stored bytes: ' || o.n * 7 || ' found, ' || m.n * 7 || ' stated' END,
+             CASE WHEN o.n <> m.n THEN 'bytes of text: ' || o.n * 70 || ' found, ' || m.n * 70 || ' stated' END,
+             CASE WHEN o.n <> m.n THEN 'another checksum' END,
+             CASE WHEN o.a <> m.a OR o.b <> m.b THEN 'another time range' END) AS detail
     FROM o JOIN m USING (k)""")
 def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects (all events of a user) against manifests that know only the small ones."""

@@ -198,7 +198,7 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("gone").alias("body"),
     )
     bad = by_key.where(is_open & (F.col("o_orderpriority") == "1-URGENT")).select(
-        "file_id", F.lit("malformed CSV at line 2: wrong number of fields").alias("reason")
+        "file_id", F.lit("broken in line 2: wrong number of fields").alias("reason")
     )
     failures = _failure_log(spark, sf_dir)
     return outcomes_of(pending, landed, fetches, bad, failures, failures, LogFileSpec())
@@ -208,9 +208,9 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CAST(o_orderkey AS VARCHAR) AS file_id,
            CASE WHEN s = 'F' AND attempts >= 5 THEN 'tombstone' WHEN s <> 'O' OR p = '2-HIGH' THEN 'fail'
                 WHEN p = '1-URGENT' AND attempts >= 3 THEN 'quarantine' WHEN p = '1-URGENT' THEN 'fail' ELSE 'archive' END AS action,
-           CASE WHEN s = 'F' THEN 'Error 404, body: gone' WHEN s = 'P' THEN 'Error 503, body: gone'
-                WHEN p = '2-HIGH' THEN 'downloaded 99 bytes, expected LogFileLength 100'
-                WHEN p = '1-URGENT' THEN 'malformed CSV at line 2: wrong number of fields' END AS reason,
+           CASE WHEN s = 'F' THEN 'HTTP 404: gone' WHEN s = 'P' THEN 'HTTP 503: gone'
+                WHEN p = '2-HIGH' THEN 'has 99 bytes where its listing says 100'
+                WHEN p = '1-URGENT' THEN 'broken in line 2: wrong number of fields' END AS reason,
            CAST(attempts AS INTEGER) AS attempts,
            CASE WHEN s = 'F' THEN 'unavailable' WHEN s = 'O' AND p = '1-URGENT' THEN 'malformed' END AS counter
     FROM f""")
@@ -221,7 +221,7 @@ def file_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{OUTCOME_SQL}
     SELECT {ID_HASH.format("o_orderkey || '|0'")} AS event_id, s AS event_type,
            strftime(created, '%Y-%m-%d %H:%M:%S.%f') AS ts,
-           '{{"unavailable":true,"eventLogFileId":"' || o_orderkey || '","unavailableReason":"Error 404, body: gone","attempts":'
+           '{{"unavailable":true,"eventLogFileId":"' || o_orderkey || '","unavailableReason":"HTTP 404: gone","attempts":'
            || attempts || '}}' AS payload, 'elf-' || o_orderkey || '-unavailable' AS object_name
     FROM f WHERE s = 'F' AND attempts >= 5""")
 def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,7 +250,7 @@ def malformed_files(status: DataFrame) -> DataFrame:
         "file_id",
         "bad_line",
         F.concat(
-            F.lit("malformed CSV at line "), F.col("bad_line").cast("string"), F.lit(": "),
+            F.lit("broken in line "), F.col("bad_line").cast("string"), F.lit(": "),
             F.col("bad_reason"),
         ).alias("reason"),
     )

@@ -199,8 +199,8 @@ def test_every_damage_is_found_once(spark, damaged):
         "twice": ["manifest_mismatch"],
     }
     detail = found["changed"][0][1]
-    assert detail.startswith("record count 4 != manifest 5; compressed bytes ")
-    assert detail.endswith("sha256 mismatch; first/last timestamp mismatch")
+    assert detail.startswith("lines: 4 found, 5 stated; stored bytes: ")
+    assert detail.endswith("another checksum; another time range")
     assert "duplicate objectKey" in found["twice"][0][1]
     report = run.report().head()
     assert not report.ok

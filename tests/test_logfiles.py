@@ -140,10 +140,10 @@ def test_reasons(spark, tmp_path):
     (tmp_path / "fine.csv").write_text('a,b\n\n1,2\n')
     bad = malformed_files(file_status(csv_lines(spark, str(tmp_path))))
     assert {r.file_id: r.reason for r in bad.collect()} == {
-        "ragged": "malformed CSV at line 3: wrong number of fields",
-        "quote": "malformed CSV at line 2: bare or unterminated quote",
-        "open": "malformed CSV at line 2: bare or unterminated quote",
-        "header": "malformed CSV at line 1: bare or unterminated quote",
+        "ragged": "broken in line 3: wrong number of fields",
+        "quote": "broken in line 2: bare or unterminated quote",
+        "open": "broken in line 2: bare or unterminated quote",
+        "header": "broken in line 1: bare or unterminated quote",
     }
 
 

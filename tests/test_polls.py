@@ -134,7 +134,7 @@ def test_quarantine_after_three_polls(spark, collector, org):
     assert [p["lineNumber"] for p in payloads] == [1, 2, 3]
     assert "".join(p["rawLine"] for p in payloads) == bad
     assert payloads[0]["quarantined"] is True
-    assert payloads[0]["quarantineReason"] == "malformed CSV at line 3: wrong number of fields"
+    assert payloads[0]["quarantineReason"] == "broken in line 3: wrong number of fields"
     assert mark(collector) == datetime(2027, 4, 21, 10, 3)
     assert collector.state.attempts("main", MALFORMED).count() == 0
     manifests = read_manifests(spark, collector.root).select("manifest.*").collect()
@@ -159,7 +159,7 @@ def test_tombstone_for_a_lost_file(spark, collector, org):
     assert set(rows) == {"elf-A", "elf-B-unavailable", "elf-C"}
     stone = rows["elf-B-unavailable"]
     assert json.loads(stone.payload) == {
-        "unavailable": True, "eventLogFileId": "B", "unavailableReason": "Error 404, body: gone", "attempts": 3,
+        "unavailable": True, "eventLogFileId": "B", "unavailableReason": "HTTP 404: gone", "attempts": 3,
     }
     assert stone.timestamp == datetime(2027, 4, 21, 10, 1)
 

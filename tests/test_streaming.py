@@ -282,7 +282,7 @@ def test_undecodable_event_stops_the_stream(spark, tmp_path, where):
 def test_unknown_schema_stops_the_job(spark):
     events = spark.createDataFrame([("s1",), ("s2",)], "schema_id string")
     schemas = spark.createDataFrame([("s1", "a.B")], "schema_id string, schema_name string")
-    with pytest.raises(Exception, match="fetching schema s2"):
+    with pytest.raises(Exception, match="no schema is known by the id s2"):
         attach_schema(events, schemas).collect()
 
 
