@@ -119,23 +119,28 @@ def unsupported_manifests(manifests: DataFrame) -> DataFrame:
     )
 
 
+# Hours before a window in which events of it can have arrived: clocks differ, none arrives a day early.
+EARLY_HOURS = 24
+
+
 def partition_filter(
-    df: DataFrame, since: datetime, until: datetime, slack_hours: int = 24, column: str = "timestamp", however_late: bool = False
+    df: DataFrame, since: datetime, until: datetime, slack_hours: int | None = None, column: str = "timestamp"
 ) -> DataFrame:
-    """Prune on the partition keys with slack, then filter on the event time.
+    """Prune on the partition keys, then filter on the event time.
 
-    Streams and query rows are partitioned by arrival, so the partitions are cut
-    generously and the exact window is applied to the rows. Rows that arrived more than the slack
-    after the window are left out, unless ``however_late``.
+    Streams and query rows are partitioned by arrival, and a backfill or a late file may bring events at any
+    time after they happened: hours that lie well before the window are passed over, later ones are not.
+    With ``slack_hours`` only rows that arrived within so many hours around the window are read.
     """
     stamp = F.concat_ws("-", "part_year", "part_month", "part_day", "part_hour")
-    low, high = (
-        F.date_format(ts_lit(b) + F.expr(f"INTERVAL {h} HOURS"), "yyyy-MM-dd-HH")
-        for b, h in ((since, -slack_hours), (until, slack_hours))
-    )
-    return df.where(stamp >= low if however_late else stamp.between(low, high)).where(
-        (F.col(column) >= ts_lit(since)) & (F.col(column) < ts_lit(until))
-    )
+
+    def hour(at: datetime, hours: int) -> Column:
+        return F.date_format(ts_lit(at) + F.make_dt_interval(hours=F.lit(hours)), "yyyy-MM-dd-HH")
+
+    rows = df.where(stamp >= hour(since, -(EARLY_HOURS if slack_hours is None else slack_hours)))
+    if slack_hours is not None:
+        rows = rows.where(stamp <= hour(until, slack_hours))
+    return rows.where((F.col(column) >= ts_lit(since)) & (F.col(column) < ts_lit(until)))
 
 
 def require_no_row_limits(specs: DataFrame, column: str = "tail") -> DataFrame:
