@@ -114,7 +114,7 @@ def test_first_failure_stops_the_poll(spark, collector, org):
 def test_short_download_blocks(spark, collector, org):
     org.add("A", 1, csv("r1"), LogFileLength=9999.0)
     row = org.poll(spark, collector).head()
-    assert row.failed and row.reason.startswith("downloaded ") and row.counter is None
+    assert row.failed and row.reason.startswith("has 74 bytes ") and row.counter is None
     assert mark(collector) is None
 
 
