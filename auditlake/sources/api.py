@@ -72,22 +72,28 @@ def read_limits(
     return limits_named(rows, names)
 
 
-def read_expected_ids(spark: SparkSession, path: str) -> DataFrame:
+def read_expected_ids(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """Expected-id ledger documents as `(source, grp, ord, id)`. Ids of log-file rows
-    are pooled over all files. A large ledger may be split into many documents."""
+    are pooled over all files. A large ledger may be split into many documents, one per file or
+    one per line. `ord` sorts ids as they are listed: documents by path and place, ids by place in their
+    list. A file that holds several documents where one is read stops the scan."""
     group = "map<string,array<string>>"
-    doc = (
-        spark.read.schema(f"orgId string, streams {group}, eventLogFiles {group}, customRecords {group}")
-        .option("multiLine", "true")
-        .option("mode", "FAILFAST")
-        .json(path)
+    schema = f"orgId: string, streams: {group}, eventLogFiles: {group}, customRecords: {group}"
+    texts = spark.read.text(path, wholetext=not per_line).where(F.trim("value") != "").select(
+        "value", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("place")
     )
+    # As members of an array, a second document in a text is malformed; alone it would be passed over.
+    text = F.regexp_replace("value", r"^\ufeff?\s+|^\ufeff", "")
+    members = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+    found = F.from_json(members, f"array<struct<{schema}>>", {"mode": "FAILFAST"})
+    doc = texts.select("place", F.posexplode(found).alias("number", "doc")).select("place", "number", "doc.*")
     kinds = [("streams", "stream", F.col("grp")), ("eventLogFiles", "eventlog", F.lit("")),
              ("customRecords", "soql", F.col("grp"))]
     parts = [
-        doc.select(F.explode(column).alias("grp", "ids"))
-        .select(F.lit(source).alias("source"), grp.alias("grp"), F.col("grp").alias("list"),
-                F.posexplode("ids").alias("ord", "id"))
+        doc.select("place", "number", F.explode(column).alias("grp", "ids"))
+        .select("place", "number", F.lit(source).alias("source"), grp.alias("grp"), F.col("grp").alias("list"),
+                F.posexplode("ids").alias("at", "id"))
+        .select("source", "grp", "list", F.struct("place", "number", "at").alias("ord"), "id")
         for column, source, grp in kinds
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

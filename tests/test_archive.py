@@ -247,6 +247,25 @@ def test_reconciliation_with_a_ledger(spark, root, tmp_path):
     assert report.missing == 4 and not report.ok
 
 
+def test_ledger_of_several_documents(spark, tmp_path):
+    """A document per line: each is read, and the first missing ids are those of the first documents."""
+    ledger = [{"orgId": "00D", "streams": {"/event/T": [f"{k}{i}" for i in range(8)]}} for k in "cab"]
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "1.json").write_text("\n".join(json.dumps(d) for d in ledger[:2]) + "\n")
+    (tmp_path / "lines" / "2.json").write_text(json.dumps(ledger[2]))
+    seen = spark.createDataFrame([], "source string, grp string, id string, n long")
+    expected = read_expected_ids(spark, str(tmp_path / "lines"), per_line=True)
+    row = gap_report(expected, seen).head()
+    assert (row.expected, row.missing) == (24, 24)
+    found = missing_examples(missing_ids(expected, seen)).head().missing_examples
+    assert found == ["a0", "a1", *(f"c{i}" for i in range(8))]
+    (tmp_path / "several.json").write_text("\n".join(json.dumps(d, indent=1) for d in ledger))
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_expected_ids(spark, str(tmp_path / "several.json")).collect()
+    (tmp_path / "array.json").write_text(json.dumps(ledger, indent=1))
+    assert read_expected_ids(spark, str(tmp_path / "array.json")).count() == 24
+
+
 def test_gap_report_of_the_fixture(spark):
     expected = spark.createDataFrame([("s", "g", i, x) for i, x in enumerate("abc")], "source string, grp string, ord int, id string")
     seen = spark.createDataFrame([("s", "g", "a", 1), ("s", "g", "b", 3)], "source string, grp string, id string, n long")
