@@ -18,10 +18,15 @@ from auditlake.schemas import (
     MANIFEST_VERSION,
     PART_KEYS,
 )
+from auditlake.session import stage
 from auditlake.sources.archive import describe_stored, raw_root
 
 DEFAULT_RECORDS_PER_OBJECT = 10_000
 
+# Files a task writes side by side, each with a gzip buffer.
+OPEN_FILES = 32
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def unique_unit(now: datetime) -> str:
     """Collision-resistant object name for sources that only append."""
@@ -100,12 +105,21 @@ def write_archive(
         .option("compression", "gzip")
         .option("maxRecordsPerFile", records_per_object)
     )
-    _replace_folders(writer, raw_root(root))
+    _replace_folders(records.sparkSession, writer, raw_root(root))
+
 
+def _replace_folders(spark: SparkSession, writer, target: str) -> None:
+    """Replace exactly the folders that receive rows.
 
-def _replace_folders(writer, target: str) -> None:
-    """Replace exactly the folders that receive rows."""
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(target)
+    Tasks keep the files of up to `OPEN_FILES` folders open instead of sorting all their rows by folder
+    first; rows of further folders are sorted.
+    """
+    before = spark.conf.get(_OPEN_FILES, None)
+    spark.conf.set(_OPEN_FILES, str(OPEN_FILES))
+    try:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(target)
+    finally:
+        spark.conf.unset(_OPEN_FILES) if before is None else spark.conf.set(_OPEN_FILES, before)
 
 
 def key_part(object_key: Column, name: str) -> Column:
@@ -147,6 +161,7 @@ def write_manifests(
     meant to be stored. ``meta`` has one row per unit and hour; ``unit`` narrows the
     scan where a write has a single one.
     """
+    meta = stage(meta, "units")  # a row per unit and hour, used twice
     facts = describe_stored(spark, root, touched_hours(root, meta), unit)
     put_manifests(describe_objects(facts, meta), root)
 
@@ -161,7 +176,7 @@ def put_manifests(manifests: DataFrame, root: str) -> None:
     slots = manifests.sparkSession.sparkContext.defaultParallelism
     spread = keyed.withColumn("key", F.xxhash64("value")).repartition(slots, "key").drop("key")
     writer = spread.write.partitionBy(*PART_KEYS).option("maxRecordsPerFile", 1)
-    _replace_folders(writer, f"{root.rstrip('/')}/{MANIFESTS}")
+    _replace_folders(manifests.sparkSession, writer, f"{root.rstrip('/')}/{MANIFESTS}")
 
 
 def archive_units(

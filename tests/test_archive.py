@@ -19,6 +19,7 @@ from auditlake.operators.joins import missing_ids
 from auditlake.plans.compaction import compact_to_parquet
 from auditlake.plans.verify import verify_archive
 from auditlake.schemas import RECORD
+from auditlake.sinks import archive as archive_sink
 from auditlake.sinks.archive import archive_units, object_meta, write_archive
 from auditlake.sources.api import read_expected_ids
 from auditlake.sources.archive import (
@@ -247,6 +248,54 @@ def test_reconciliation_with_a_ledger(spark, root, tmp_path):
     assert report.missing == 4 and not report.ok
 
 
+class Writer:
+    """Takes the calls of a DataFrameWriter and notes how many files a task may hold open."""
+
+    def __init__(self, spark):
+        self.spark, self.open_files = spark, None
+
+    def mode(self, _):
+        return self
+
+    def option(self, *_):
+        return self
+
+    def text(self, _):
+        self.open_files = self.spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+
+
+def test_rows_of_an_archive_are_not_sorted_by_folder(spark, root):
+    writer = Writer(spark)
+    archive_sink._replace_folders(spark, writer, root)
+    assert writer.open_files == str(archive_sink.OPEN_FILES)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_more_folders_than_open_files(spark, root):
+    many = archive_sink.OPEN_FILES + 8
+    kinds = F.concat(F.lit("T"), (F.col("event_id").substr(2, 9).cast("int") % many).cast("string"))
+    events = spark.range(5 * many).select(F.concat(F.lit("s"), "id").alias("event_id"))
+    df = events.crossJoin(records(spark, 1).drop("event_id")).withColumn("object_type", kinds).coalesce(1)
+    write_archive(df, root, records_per_object=2)
+    found = read_archive(spark, root).groupBy("part_event_type").count().collect()
+    assert len(found) == many and {r["count"] for r in found} == {5}
+    assert len(glob.glob(f"{root}/raw/**/*.gz", recursive=True)) == 3 * many
+
+
+def test_units_of_a_write_are_found_once(spark, root):
+    df = records(spark, 6, unit="u", prefix="s")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    meta = topic_meta(df)
+    archive_units(df, root, meta=meta.mapInArrow(count, meta.schema))
+    assert seen.value == 1
+
+
 def test_ledger_of_several_documents(spark, tmp_path):
     """A document per line: each is read, and the first missing ids are those of the first documents."""
     ledger = [{"orgId": "00D", "streams": {"/event/T": [f"{k}{i}" for i in range(8)]}} for k in "cab"]
