@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Characters kept in keys, and the two prefixes.
 UNSAFE_KEY_CHARS = r"[^A-Za-z0-9_.\-]"
+SAFE_KEY = r"^[A-Za-z0-9_.\-]++\z"
 UNICODE_SPACE = (
     "\t\n\v\f\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -22,7 +23,9 @@ def sanitize_key(value: Column, fallback: str = "unknown") -> Column:
     clean = F.regexp_replace(trimmed, UNSAFE_KEY_CHARS, "_")
     suffix = F.substring(F.sha2(trimmed, 256), 1, 6)
     return (
-        F.when(clean == "", F.lit(fallback))
+        # Most keys are safe as they are; one look spares them the rest.
+        F.when(value.rlike(SAFE_KEY), value)
+        .when(clean == "", F.lit(fallback))
         .when(clean != trimmed, F.concat(clean, F.lit("-"), suffix))
         .otherwise(clean)
     )
