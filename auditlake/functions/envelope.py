@@ -34,7 +34,8 @@ def to_envelope() -> Column:
             _optional("replay_id"),
         )
     )
-    payload = F.translate(F.col("payload_json"), "\r\n", "  ")
+    # Searched for, not looked up for each character.
+    payload = F.replace(F.replace("payload_json", F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     payload = F.coalesce(F.nullif(F.trim(payload), F.lit("")), F.lit("{}"))
     return F.concat(
         F.regexp_replace(header, r"\}$", ","), F.lit(PAYLOAD_KEY), payload, F.lit("}")

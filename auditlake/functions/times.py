@@ -20,13 +20,13 @@ ZERO_TIME_TEXT = "0001-01-01T00:00:00Z"
 
 
 def _cast_guarded(value: Column, pattern: str) -> Column:
-    return F.when(value.rlike(pattern), F.translate(value, ",", ".").try_cast("timestamp"))
+    return F.when(value.rlike(pattern), F.replace(value, F.lit(","), F.lit(".")).try_cast("timestamp"))
 
 
 def parse_compact_timestamp(value: Column) -> Column:
     """``yyyyMMddHHmmss`` with an optional fraction, in UTC; NULL if it is not one."""
     digits = F.regexp_replace(
-        F.translate(value, ",", "."),
+        F.replace(value, F.lit(","), F.lit(".")),
         r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)",
         "$1-$2-$3T$4:$5:$6",
     )
@@ -79,7 +79,7 @@ def stream_event_time(event_date: Column, created_date: Column) -> Column:
 
 def rfc3339(ts: Column) -> Column:
     """UTC text with as many fraction digits as needed, e.g. ``…T01:02:03.004Z``."""
-    return F.concat(F.translate(ts.cast("string"), " ", "T"), F.lit("Z"))
+    return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def rfc3339_seconds(ts: Column) -> Column:

@@ -273,3 +273,20 @@ def test_payload_text_is_exact(spark):
 def test_pretty_payload_stays_on_one_line(spark):
     line = lines(spark, record(payload_json='{\r\n "a": 1\n}'))[0]
     assert "\n" not in line and json.loads(line)["payload"] == {"a": 1}
+
+
+def test_keys_that_only_look_safe(spark):
+    """The short way for safe keys takes none that has to be changed."""
+    texts = ["Login", "a.b-c_9", "a\n", " a", "a ", "", "a/b", "\u00e9", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r.k for r in df.select(layout.sanitize_key(F.col("t")).alias("k")).collect()]
+    assert found[:2] == texts[:2] and found[2:6] == ["a", "a", "a", "unknown"] and found[8] == "unknown"
+    for text, key in zip(("a/b", "\u00e9"), found[6:8]):
+        assert key == "_".join(text.split("/") if "/" in text else ["", ""]) + "-" + hashlib.sha256(text.encode()).hexdigest()[:6]
+
+
+def test_line_breaks_and_times_of_an_envelope(spark):
+    row = ("e1", "Login", datetime(2026, 9, 15, 1, 2, 3, 4000), "stream", "", "", "", None, '{"a":\r\n 1}\n', None, "u", None)
+    line = spark.createDataFrame([row], RECORD).select(to_envelope()).head()[0]
+    assert "\n" not in line and "\r" not in line and line.endswith('"payload":{"a":   1}}')
+    assert '"timestamp":"2026-09-15T01:02:03.004Z"' in line
