@@ -139,7 +139,8 @@ def csv_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     splits = splits.withColumn(
         "record_offset", F.coalesce(F.sum(started).over(before), zero)
     ).select(
-        "path", "block", "line_offset", "split_odd", "record_offset", "file_lines",
+        # The file's id is taken from its path here, not for each line.
+        "path", "block", file_id_of(F.col("path")).alias("file_id"), "line_offset", "split_odd", "record_offset", "file_lines",
         # A byte order mark is not part of the lines read.
         (F.col("size") - F.col("file_bytes")).isin(0, 3).alias("ends_with_newline"),
     )
@@ -154,7 +155,7 @@ def csv_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         lines.join(splits, ["path", "block"])
         .select(
             "path",
-            file_id_of(F.col("path")).alias("file_id"),
+            "file_id",
             line_no.alias("line_no"),
             "raw",
             in_quote.alias("in_quote"),
@@ -204,34 +205,35 @@ def file_status(lines: DataFrame) -> DataFrame:
         _separators(text).alias("separators"),
     )
     header = F.col("record_no") == 1
-    # Quotes first: they need no look at other lines.
-    quotes = checked.groupBy("path", "file_id").agg(
-        F.min(F.when(~F.col("ok"), F.col("record_no"))).alias("bad_quotes"),
-        (F.sum(F.when(header, F.col("separators"))) + 1).alias("width"),
-        F.max("record_no").alias("records"),
-    )
     # A record on one line carries its own field count; only records that span
-    # lines have to be summed up.
+    # lines have to be summed up. The lines are looked at once.
     spanning = F.col("in_quote") | F.col("ends_in_quote")
-    single = checked.where(~spanning).groupBy("path", "separators").agg(
-        F.min("record_no").alias("record_no")
-    )
-    spread = (
-        checked.where(spanning)
-        .groupBy("path", "record_no")
-        .agg(F.sum("separators").alias("separators"))
-        .groupBy("path", "separators")
-        .agg(F.min("record_no").alias("record_no"))
+    counted = checked.groupBy(
+        "path", "file_id", F.when(spanning, F.col("record_no")).alias("record"), F.when(~spanning, F.col("separators")).alias("own")
+    ).agg(
+        F.min(F.when(~F.col("ok"), F.col("record_no"))).alias("bad_quotes"),
+        F.sum(F.when(header, F.col("separators"))).alias("in_header"),
+        F.sum("separators").alias("summed"),
+        F.min("record_no").alias("first"),
+        F.max("record_no").alias("last"),
     )
-    widths = (
-        single.unionByName(spread.select("path", "separators", "record_no"))
-        .join(quotes.select("path", "width"), "path")
-        .where(F.col("separators") + 1 != F.col("width"))
-        .groupBy("path")
-        .agg(F.min("record_no").alias("bad_count"))
+    # A row for each field count of a file.
+    widths = counted.groupBy("path", "file_id", F.coalesce("own", "summed").alias("separators")).agg(
+        F.min("bad_quotes").alias("bad_quotes"), F.sum("in_header").alias("in_header"),
+        F.min("first").alias("first"), F.max("last").alias("last"),
+    )
+    width = F.sum("in_header").over(W.partitionBy("path", "file_id")) + 1
+    files = (
+        widths.withColumn("width", width)
+        .groupBy("path", "file_id")
+        .agg(
+            F.min("bad_quotes").alias("bad_quotes"),
+            F.min(F.when(F.col("separators") + 1 != F.col("width"), F.col("first"))).alias("bad_count"),
+            F.max("last").alias("records"),
+        )
     )
     by_quotes = F.coalesce(F.col("bad_quotes") <= F.col("bad_count"), F.col("bad_quotes").isNotNull())
-    return quotes.join(widths, "path", "left").select(
+    return files.select(
         "path",
         "file_id",
         "records",

@@ -168,3 +168,19 @@ def test_long_quoted_field(spark, tmp_path):
     import hashlib
 
     assert row.n == len(value) and row.h == hashlib.sha256(value.encode()).hexdigest()
+
+
+def test_lines_are_looked_at_once(spark, tmp_path):
+    """The check of a file reads its lines once, and a file's id is not taken from its path for each line."""
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n1,2\n1,2,3\n')
+    lines = csv_lines(spark, str(tmp_path))
+    assert "regexp" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    lines, seen = stage(lines, "test-lines"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    status = file_status(lines.mapInArrow(count, lines.schema)).collect()
+    assert [(r.file_id, r.records, r.bad_line) for r in status] == [("a", 4, 4)] and seen.value == 5
