@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Lets a REBALANCE split a hot partition before a partitioned write.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Folders are listed by so many tasks at most; one task for each would cost more than the listing.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "128",
     # A CSV header may name a column twice; the last value is kept.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }

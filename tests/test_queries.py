@@ -44,3 +44,8 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["USER_ID", "n"] and df.count() > 0
+
+
+def test_listing_of_folders_takes_few_tasks(spark):
+    """Spark's own limit is ten thousand: a task for nearly every folder."""
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 1000
