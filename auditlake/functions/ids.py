@@ -26,9 +26,13 @@ def json_string_field(payload: Column, name: str) -> Column:
     string; only for the rest is the type looked up.
     """
     text = F.get_json_object(payload, f"$.{name}")
-    doubtful = text.rlike(r"^(-?[0-9]|true$|false$|[{\[])")
     member = F.from_json(payload, f"`{name}` variant")[name]
-    return F.when(~doubtful | (F.schema_of_variant(member) == "STRING"), text)
+
+    def is_string(t: Column) -> Column:
+        return ~t.rlike(r"^(-?[0-9]|true$|false$|[{\[])") | (F.schema_of_variant(member) == "STRING")
+
+    # An array of one, so that the text is looked up once.
+    return F.get(F.filter(F.array(text), is_string), F.lit(0))
 
 
 def csv_row_id(file_id: Column, line: Column) -> Column:

@@ -28,9 +28,11 @@ def in_window(
     df: DataFrame, column: str | Column, since: Column | datetime, until: Column | datetime
 ) -> DataFrame:
     """Rows inside the window, both ends included and in second precision."""
-    col = F.col(column) if isinstance(column, str) else column
     low, high = (F.date_trunc("second", _bound(b)) for b in (since, until))
-    return df.where(col.between(low, high))
+    if isinstance(column, str):
+        return df.where(F.col(column).between(low, high))
+    # Both ends look at one value: an expression written twice would be computed twice.
+    return df.where(F.exists(F.array(column), lambda c: c.between(low, high)))
 
 
 def finished_in_window(

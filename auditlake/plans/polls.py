@@ -475,7 +475,8 @@ def query_records(rows: DataFrame, spec: QuerySpec, instance: Column, fingerprin
 def rows_in_window(rows: DataFrame, spec: QuerySpec, since: datetime, until: datetime) -> DataFrame:
     """Window on the time field, or on the end field alone where one is given."""
     def value(name: str) -> Column:
-        return parse_api_date(F.get_json_object("row_json", f"$.{name}"))
+        # The row is parsed once, though the text is looked at several times.
+        return F.transform(F.array(F.get_json_object("row_json", f"$.{name}")), parse_api_date)[0]
 
     if spec.end_timestamp:
         return finished_in_window(rows, value(spec.end_timestamp), since, until)

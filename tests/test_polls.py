@@ -401,3 +401,14 @@ def test_working_folder_without_any_setting(monkeypatch, tmp_path):
     env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": os.pathsep.join(sys.path)}
     got = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
     assert got.stdout.strip() == "3", got.stderr[-2000:]
+
+
+def test_the_window_parses_a_row_once(spark):
+    from auditlake.plans.polls import rows_in_window
+
+    dates = ["2026-01-01T00:00:01Z", "2026-01-01T00:00:02,5+0000", "2026-01-01T00:00:04Z", "soon", None]
+    rows = spark.createDataFrame([(json.dumps({"n": i, "t": d}),) for i, d in enumerate(dates)], "row_json string")
+    got = rows_in_window(rows, QuerySpec("Q", ["t"], "t"), datetime(2026, 1, 1, 0, 0, 1), datetime(2026, 1, 1, 0, 0, 3))
+    assert [json.loads(r.row_json)["n"] for r in got.collect()] == [0, 1]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1
