@@ -42,24 +42,31 @@ def to_envelope() -> Column:
     )
 
 
-def header_of(line: Column) -> Column:
-    """Header fields of an envelope line, without touching the payload.
+def head_of(line: Column) -> Column:
+    """Text in front of the payload key; the whole line where there is none.
 
     A quote inside a JSON string is always escaped, so the first unescaped payload
     key is the real one even if a header value contains the same words.
     """
-    at = F.locate(PAYLOAD_KEY, line)
-    head = F.concat(F.rtrim(F.substr(line, F.lit(1), at - 1)), F.lit(PAYLOAD_KEY + "0}"))
-    return F.when(at > 0, F.from_json(head, ENVELOPE_HEADER))
+    return F.substring_index(line, PAYLOAD_KEY, 1)
 
 
-def payload_of(line: Column) -> Column:
-    """Exact payload text of an envelope line."""
-    at = F.locate(PAYLOAD_KEY, line) + len(PAYLOAD_KEY)
-    text = F.rtrim(line)
-    return F.when(
-        at > len(PAYLOAD_KEY), F.substr(text, at, F.length(text) - at)
-    )
+def header_of(line: Column, head: Column | None = None) -> Column:
+    """Header fields of an envelope line, without touching the payload. The search for the payload
+    key is the dear part: a caller that has its result (`head_of`) as a column gives it."""
+    head = head_of(line) if head is None else head
+    found = F.octet_length(head) < F.octet_length(line)
+    return F.when(found, F.from_json(F.concat(head, F.lit(PAYLOAD_KEY + "0}")), ENVELOPE_HEADER))
+
+
+def payload_of(line: Column, head: Column | None = None) -> Column:
+    """Exact payload text of an envelope line; ``head`` as in `header_of`."""
+    head = head_of(line) if head is None else head
+    # Taken by bytes, so that no character in front of it is looked at.
+    behind = F.substr(line.cast("binary"), F.octet_length(head) + len(PAYLOAD_KEY) + 1)
+    text = F.rtrim(behind.cast("string"))
+    found = F.octet_length(head) < F.octet_length(line)
+    return F.when(found, F.substr(text, F.lit(1), F.length(text) - 1))
 
 
 def envelope_time(text: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.functions.envelope import envelope_time, header_of, payload_of
+from auditlake.functions.envelope import PAYLOAD_KEY, envelope_time, head_of, header_of, payload_of
 from auditlake.functions.layout import MANIFESTS, RAW, object_key_of
 from auditlake.functions.times import ZERO_TIME_TEXT
 from auditlake.schemas import ENVELOPE_HEADER, HOUR_KEYS, MANIFEST, PART_KEYS
@@ -65,14 +65,14 @@ def read_archive(
     """Archived records. Header fields keep the stored values; the sanitised path keys
     are `part_*` columns and prune the scan. The payload is the exact stored text."""
     lines = read_lines(spark, root, paths, units).where(F.trim("value") != "")
-    header = header_of(F.col("value"))
     kept = [c for c in lines.columns if c != "value"]
     return (
-        lines.withColumn("header", header)
+        lines.withColumn("head", head_of(F.col("value")))
+        .withColumn("header", header_of(F.col("value"), F.col("head")))
         .select(
             *[F.coalesce(F.col("header")[n], F.lit("")).alias(n) for n in HEADER_NAMES if n != "timestamp"],
             envelope_time(F.col("header")["timestamp"]).alias("timestamp"),
-            payload_of(F.col("value")).alias("payload"),
+            payload_of(F.col("value"), F.col("head")).alias("payload"),
             *kept,
         )
     )
@@ -133,15 +133,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_OBJECT_BYTES = 1 << 30
 _SLICE = 1 << 20
 _BLOCK = 4 << 20
+_KEY = PAYLOAD_KEY.encode()
 _OBJECT_LINES = pa.schema(
     [
         ("object_key", pa.string()),
         ("line", pa.binary()),
+        ("head", pa.binary()),
         ("uncompressed", pa.int64()),
         ("error", pa.string()),
     ]
 )
-OBJECT_LINES = "object_key string, line binary, uncompressed bigint, error string"
+OBJECT_LINES = "object_key string, line binary, head binary, uncompressed bigint, error string"
 
 
 def _inflate(content: memoryview) -> Iterator[bytes]:
@@ -160,30 +162,34 @@ def _inflate(content: memoryview) -> Iterator[bytes]:
         raise EOFError("unexpected end of gzip data")
 
 
-def _line_batches(key: str, content: memoryview) -> Iterator[pa.RecordBatch]:
-    """The lines of one object in blocks, then one row with its size or its error."""
+def _line_batches(key: str, content: memoryview, heads: bool) -> Iterator[pa.RecordBatch]:
+    """The lines of one object in blocks, then one row with its size or its error. With ``heads`` a
+    line ends behind its payload key."""
     total, rest, error = 0, b"", None
     try:
         for block in _inflate(content):
             total += len(block)
             *lines, rest = (rest + block).split(b"\n")
-            yield _as_batch(key, lines)
+            yield _as_batch(key, lines, heads)
         if rest:
-            yield _as_batch(key, [rest])
+            yield _as_batch(key, [rest], heads)
     except (zlib.error, EOFError) as failure:
         error = f"{failure}"
     yield pa.RecordBatch.from_pylist(
-        [{"object_key": key, "line": None, "uncompressed": total, "error": error}],
+        [{"object_key": key, "line": None, "head": None, "uncompressed": total, "error": error}],
         schema=_OBJECT_LINES,
     )
 
 
-def _as_batch(key: str, lines: list[bytes]) -> pa.RecordBatch:
+def _as_batch(key: str, lines: list[bytes], heads: bool) -> pa.RecordBatch:
+    """Lines and what is in front of their payload keys, as `head_of` finds it."""
     n = len(lines)
+    found = [line.partition(_KEY)[:2] for line in lines]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([key], pa.string()).take(pa.array([0] * n, pa.int32())),
-            pa.array(lines, pa.binary()),
+            pa.array([head + at for head, at in found] if heads else lines, pa.binary()),
+            pa.array([head for head, _ in found], pa.binary()),
             pa.nulls(n, pa.int64()),
             pa.nulls(n, pa.string()),
         ],
@@ -191,10 +197,14 @@ def _as_batch(key: str, lines: list[bytes]) -> pa.RecordBatch:
     )
 
 
-def _split_objects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _split_objects(batches: Iterator[pa.RecordBatch], heads: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for key, content in zip(batch.column("object_key"), batch.column("content")):
-            yield from _line_batches(key.as_py(), memoryview(content.as_buffer()))
+            yield from _line_batches(key.as_py(), memoryview(content.as_buffer()), heads)
+
+
+def _split_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _split_objects(batches, heads=True)
 
 
 def _object_files(
@@ -215,12 +225,16 @@ def _object_files(
     return files.where(size <= MAX_OBJECT_BYTES).select(*names, "content")
 
 
-def _undecodable(line: Column) -> Column:
-    parsed = F.from_json(
+def _whole(line: Column) -> Column:
+    """A line with all that is in it, and what is wrong with it."""
+    return F.from_json(
         line,
         f"{ENVELOPE_HEADER}, payload map<string,string>, _corrupt string",
         {"columnNameOfCorruptRecord": "_corrupt"},
     )
+
+
+def _undecodable(parsed: Column) -> Column:
     time = parsed["timestamp"]
     return (
         parsed.isNull()
@@ -230,9 +244,10 @@ def _undecodable(line: Column) -> Column:
 
 
 def _inflated(
-    spark: SparkSession, root: str, paths: Sequence[str] | None, unit: str | None
+    spark: SparkSession, root: str, paths: Sequence[str] | None, unit: str | None, heads: bool = False
 ) -> DataFrame:
-    """Lines of the objects, each tagged with size, checksum and key of its object."""
+    """Lines of the objects, each tagged with size, checksum and key of its object; with ``heads``
+    without their payloads, which then never leave Python."""
     files = _object_files(spark, root, paths, unit).select(
         # Size and checksum travel with the key: Python need not see them.
         F.concat_ws("|", F.col("length").cast("string"), F.sha2("content", 256), "object_key").alias(
@@ -241,15 +256,17 @@ def _inflated(
         "content",
     )
     return (
-        files.mapInArrow(_split_objects, OBJECT_LINES)
+        files.mapInArrow(_split_heads if heads else _split_objects, OBJECT_LINES)
         .withColumn("text", F.col("line").cast("string"))
         .withColumn("is_line", F.col("line").isNotNull() & (F.trim("text") != ""))
-        .withColumn("header", F.when(F.col("is_line"), header_of(F.col("text"))))
+        .withColumn("head", F.col("head").cast("string"))
+        .withColumn("header", F.when(F.col("is_line"), header_of(F.col("text"), F.col("head"))))
         .withColumnRenamed("object_key", "tag")
     )
 
 
 def _measures() -> list[Column]:
+    """Numbers and times only: a text among them (the error is a key) would have all lines sorted by object."""
     time = F.col("header.timestamp")
     known = F.when(time != ZERO_TIME_TEXT, envelope_time(time))
     return [
@@ -257,7 +274,6 @@ def _measures() -> list[Column]:
         F.min(known).alias("first"),
         F.max(known).alias("last"),
         F.max("uncompressed").alias("uncompressed"),
-        F.max("error").alias("error"),
     ]
 
 
@@ -273,8 +289,13 @@ def describe_stored(
     spark: SparkSession, root: str, paths: Sequence[str] | None = None, unit: str | None = None
 ) -> DataFrame:
     """Facts for the manifests of objects just written. Payloads are not parsed."""
-    counted = _inflated(spark, root, paths, unit).groupBy("tag").agg(*_measures())
-    return _untagged(counted).withColumnsRenamed({"first": "first_ts", "last": "last_ts"})
+    counted = _inflated(spark, root, paths, unit, heads=True).groupBy("tag", "error").agg(*_measures())
+    # A row for each object, or two for a damaged one.
+    facts = counted.groupBy("tag").agg(
+        F.sum("records").alias("records"), F.min("first").alias("first_ts"), F.max("last").alias("last_ts"),
+        F.max("uncompressed").alias("uncompressed"), F.max("error").alias("error"),
+    )
+    return _untagged(facts)
 
 
 def scan_objects(
@@ -295,16 +316,17 @@ def scan_objects(
     task that inflated it, so only a few counters per object are shuffled. A damaged
     object yields an error instead of failing the scan.
     """
-    lines = _inflated(spark, root, paths, unit)
+    lines = _inflated(spark, root, paths, unit).withColumn("whole", F.when(F.col("is_line"), _whole(F.col("text"))))
     source = F.when(F.col("is_line"), F.coalesce("header.source", F.lit("")))
-    bad = F.col("is_line") & F.coalesce(_undecodable(F.col("text")), F.lit(True))
+    bad = F.col("is_line") & F.coalesce(_undecodable(F.col("whole")), F.lit(True))
     keys = [source.alias("line_source")]
     if line_ref is not None:
+        lines = lines.withColumn("payload", payload_of(F.col("text"), F.col("head")))
         keys += [
             F.when(F.col("is_line"), F.col("header.event_type")).alias("line_type"),
-            F.when(F.col("is_line"), line_ref(source, payload_of(F.col("text")))).alias("line_id"),
+            F.when(F.col("is_line"), line_ref(source, F.col("payload"))).alias("line_id"),
         ]
-    counted = _untagged(lines.groupBy("tag", *keys).agg(*_measures(), F.count_if(bad).alias("bad_lines")))
+    counted = _untagged(lines.groupBy("tag", "error", *keys).agg(*_measures(), F.count_if(bad).alias("bad_lines")))
     size = F.col("length").cast("string")
     large = _object_files(spark, root, paths, unit, too_large=True).select(
         "object_key", F.col("length").alias("compressed"), F.lit(0).cast("bigint").alias("records"),

@@ -537,3 +537,37 @@ def test_one_users_day_reads_few_rows_of_the_copy(spark, root, tmp_path):
     assert 0 < read <= n / 5
     nobody = copy_timeline(spark, out, datetime(2026, 9, 15), "v1")
     assert nobody.count() == 0
+
+
+def test_lines_are_counted_without_a_sort(spark, root):
+    from auditlake.operators.aggregates import line_ref
+    from auditlake.sources.archive import describe_stored
+
+    write_archive(records(spark), root)
+    for counted in (describe_stored(spark, root), scan_objects(spark, root), scan_objects(spark, root, line_ref=line_ref)):
+        # Below the shuffle are lines, above it counters of objects.
+        by_line = counted._jdf.queryExecution().executedPlan().toString().rsplit("Exchange", 1)[-1]
+        assert "MapInArrow" in by_line and "Sort" not in by_line
+
+
+def test_a_damaged_object_is_described_by_one_row(spark, root):
+    from auditlake.sources.archive import describe_stored
+
+    write_archive(records(spark, 50), root)
+    [path] = data_files(root)
+    Path(path).with_name(f".{Path(path).name}.crc").unlink()
+    Path(path).write_bytes(Path(path).read_bytes()[:-40])
+    [facts] = describe_stored(spark, root).collect()
+    assert facts.error and facts.compressed == os.path.getsize(path)
+    assert facts.records == sum(r.records for r in object_facts(scan_objects(spark, root)).collect())
+
+
+def test_heads_leave_out_payloads_only():
+    from auditlake.sources.archive import _line_batches
+
+    lines = [b'{"event_type":"\xc3\xa9","payload":{"payload":1}}', b"no key", b"", b'{"payload":']
+    rows = [list(_line_batches("k", memoryview(gzip.compress(b"\n".join(lines))), heads)) for heads in (True, False)]
+    heads, whole = ([r for b in batches for r in b.to_pylist()][:-1] for batches in rows)
+    assert [r["line"] for r in heads] == [b'{"event_type":"\xc3\xa9","payload":', b"no key", b"", b'{"payload":']
+    assert [r["line"] for r in whole] == lines
+    assert [r["head"] for r in heads] == [r["head"] for r in whole] == [b'{"event_type":"\xc3\xa9",', b"no key", b"", b"{"]
