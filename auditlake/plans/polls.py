@@ -59,7 +59,7 @@ from auditlake.operators.filters import (
 )
 from auditlake.operators.records import advance_watermark, good_prefix
 from auditlake.schemas import EVENTLOG, LIMITS, RECORD_COLUMNS, SOQL
-from auditlake.session import stage
+from auditlake.session import empty, stage
 from auditlake.sinks.archive import (
     DEFAULT_RECORDS_PER_OBJECT,
     archive_units,
@@ -293,7 +293,7 @@ def poll_log_files(
     state, instance = collector.state, collector.instance
     since, until = collector.window(LOG_FILES, "", now)
     if fetches is None:
-        fetches = spark.createDataFrame([], "file_id string, status int, body string")
+        fetches = empty(spark, "file_id string, status int, body string")
     markers = state.markers(instance, LOG_FILES, "", now)
     catalog = read_log_catalog(spark, pages_dir, per_line)
     listed = stage(listed_files(catalog, markers, since, until, spec), "listed")
@@ -303,7 +303,7 @@ def poll_log_files(
         pending.select(F.col("Id").alias("file_id")), "file_id", "left_semi"
     )
     known = (state.attempts(instance, MALFORMED), state.attempts(instance, UNAVAILABLE))
-    nothing_bad = spark.createDataFrame([], "file_id string, reason string")
+    nothing_bad = empty(spark, "file_id string, reason string")
     first_look = file_outcomes(pending, downloads, fetches, nothing_bad, *known, spec)
     if pending.isEmpty():
         _advance_files(collector, listed, first_look)

@@ -8,6 +8,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Runtime SQL settings every job of this package relies on.
 RUNTIME_CONF = {
@@ -84,6 +86,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """A frame without rows. From a list, even an empty one, Spark would start a further Python worker on every core."""
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import zlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -131,8 +131,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A gzip object is read whole by one task; a larger one is reported, not read.
 MAX_OBJECT_BYTES = 1 << 30
+# Content goes to Python in pieces, so that its memory does not grow with the objects.
+PIECE_BYTES = 4 << 20
 _SLICE = 1 << 20
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 _KEY = PAYLOAD_KEY.encode()
 _OBJECT_LINES = pa.schema(
     [
@@ -146,28 +148,29 @@ _OBJECT_LINES = pa.schema(
 OBJECT_LINES = "object_key string, line binary, head binary, uncompressed bigint, error string"
 
 
-def _inflate(content: memoryview) -> Iterator[bytes]:
+def _inflate(pieces: Iterable[memoryview]) -> Iterator[bytes]:
     """Blocks of bounded size from one or several concatenated gzip members."""
     member = zlib.decompressobj(wbits=31)
-    for start in range(0, len(content), _SLICE):
-        data = bytes(content[start : start + _SLICE])
-        while data:
-            if member.eof:
-                member = zlib.decompressobj(wbits=31)
-            block = member.decompress(data, _BLOCK)
-            if block:
-                yield block
-            data = member.unused_data if member.eof else member.unconsumed_tail
+    for piece in pieces:
+        for start in range(0, len(piece), _SLICE):
+            data = bytes(piece[start : start + _SLICE])
+            while data:
+                if member.eof:
+                    member = zlib.decompressobj(wbits=31)
+                block = member.decompress(data, _BLOCK)
+                if block:
+                    yield block
+                data = member.unused_data if member.eof else member.unconsumed_tail
     if not member.eof:
         raise EOFError("unexpected end of gzip data")
 
 
-def _line_batches(key: str, content: memoryview, heads: bool) -> Iterator[pa.RecordBatch]:
+def _line_batches(key: str, content: memoryview | Iterable[memoryview], heads: bool) -> Iterator[pa.RecordBatch]:
     """The lines of one object in blocks, then one row with its size or its error. With ``heads`` a
     line ends behind its payload key."""
     total, rest, error = 0, b"", None
     try:
-        for block in _inflate(content):
+        for block in _inflate([content] if isinstance(content, memoryview) else content):
             total += len(block)
             *lines, rest = (rest + block).split(b"\n")
             yield _as_batch(key, lines, heads)
@@ -197,10 +200,27 @@ def _as_batch(key: str, lines: list[bytes], heads: bool) -> pa.RecordBatch:
     )
 
 
-def _split_objects(batches: Iterator[pa.RecordBatch], heads: bool = False) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bool, memoryview]]:
     for batch in batches:
-        for key, content in zip(batch.column("object_key"), batch.column("content")):
-            yield from _line_batches(key.as_py(), memoryview(content.as_buffer()), heads)
+        for key, last, content in zip(batch.column("object_key"), batch.column("last"), batch.column("content")):
+            yield key.as_py(), last.as_py(), memoryview(content.as_buffer())
+
+
+def _split_objects(batches: Iterator[pa.RecordBatch], heads: bool = False) -> Iterator[pa.RecordBatch]:
+    """Lines of objects whose pieces come one after the other, in order."""
+    pieces = _pieces(batches)
+
+    def content(last: bool, piece: memoryview) -> Iterator[memoryview]:
+        yield piece
+        while not last:
+            _, last, piece = next(pieces)
+            yield piece
+
+    for key, last, piece in pieces:
+        own = content(last, piece)
+        yield from _line_batches(key, own, heads)
+        for _ in own:  # what is left of a damaged object
+            pass
 
 
 def _split_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,8 +275,14 @@ def _inflated(
         ),
         "content",
     )
+    size, at = F.octet_length("content"), F.col("at")
+    starts = F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)), F.lit(PIECE_BYTES))
+    pieces = files.select("object_key", "content", F.explode(starts).alias("at")).select(
+        "object_key", (at + PIECE_BYTES >= size).alias("last"),
+        F.substr("content", at + 1, F.lit(PIECE_BYTES)).alias("content"),
+    )
     return (
-        files.mapInArrow(_split_heads if heads else _split_objects, OBJECT_LINES)
+        pieces.mapInArrow(_split_heads if heads else _split_objects, OBJECT_LINES)
         .withColumn("text", F.col("line").cast("string"))
         .withColumn("is_line", F.col("line").isNotNull() & (F.trim("text") != ""))
         .withColumn("head", F.col("head").cast("string"))

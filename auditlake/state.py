@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from auditlake.functions.times import ts_lit, utc, watermark_time
 from auditlake.schemas import ATTEMPTS, MARKERS, WATERMARKS
-from auditlake.session import child_names, delete_path, path_exists
+from auditlake.session import child_names, delete_path, empty, path_exists
 
 # Fixed value: how long de-duplication markers live.
 MARKER_TTL = timedelta(days=7)
@@ -49,7 +49,7 @@ class State:
 
     def _read(self, path: str, schema: str) -> DataFrame:
         if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
     # --- watermarks: never expire ---------------------------------------------------
@@ -120,7 +120,7 @@ class State:
         path = self.path("markers", instance, kind, scope)
         schema = f"{MARKERS}, marked_day date"
         if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         first_day = F.to_date(ts_lit(now) - F.lit(ttl))
         rows = self.spark.read.schema(schema).parquet(path).where(F.col("marked_day") >= first_day)
         return live_markers(rows, now, ttl)
@@ -157,7 +157,7 @@ class State:
         path = self.path("attempts", instance, kind)
         names, _ = self._attempt_folders(path)
         if not names:
-            return self.spark.createDataFrame([], "key string, n int, version bigint")
+            return empty(self.spark, "key string, n int, version bigint")
         log = self.spark.read.schema(ATTEMPTS).parquet(*[f"{path}/{n}" for n in names])
         return (
             log.groupBy("key")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from auditlake.functions.times import ts_lit, utc
-from auditlake.session import path_exists
+from auditlake.session import empty, path_exists
 
 PROGRESS = (
     "kind string, name string, run string, batch_id bigint, at timestamp, records bigint, newest_event timestamp,"
@@ -70,7 +70,7 @@ class ProgressTable(StreamingQueryListener):
 
 def read_progress(spark: SparkSession, folder: str) -> DataFrame:
     if not path_exists(spark, folder):
-        return spark.createDataFrame([], PROGRESS)
+        return empty(spark, PROGRESS)
     return spark.read.schema(PROGRESS).json(folder)
 
 

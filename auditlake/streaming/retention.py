@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.session import child_names
+from auditlake.session import child_names, empty
 
 # How Spark's file source notes a file in its checkpoint.
 _ENTRY = "path string, timestamp bigint, batchId bigint"
@@ -25,7 +25,7 @@ def pending_files(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(path, batch_id): files noted for a batch that was not committed, from the source's own log."""
     log = f"{checkpoint.rstrip('/')}/sources/0"
     if not any(n.partition(".")[0].isdigit() for n in child_names(spark, log)):
-        return spark.createDataFrame([], "path string, batch_id bigint")
+        return empty(spark, "path string, batch_id bigint")
     entry = F.from_json("value", _ENTRY)
     # The first line of a log file names its format.
     return (

@@ -571,3 +571,25 @@ def test_heads_leave_out_payloads_only():
     assert [r["line"] for r in heads] == [b'{"event_type":"\xc3\xa9","payload":', b"no key", b"", b'{"payload":']
     assert [r["line"] for r in whole] == lines
     assert [r["head"] for r in heads] == [r["head"] for r in whole] == [b'{"event_type":"\xc3\xa9",', b"no key", b"", b"{"]
+
+
+def test_content_goes_to_python_in_pieces(spark, root, monkeypatch):
+    from auditlake.sources import archive
+
+    write_archive(records(spark, 60), root)
+    [path] = data_files(root)
+    whole = object_facts(scan_objects(spark, root)).collect()
+    Path(path).with_name("damaged.txt.gz").write_bytes(Path(path).read_bytes()[:-40])
+    monkeypatch.setattr(archive, "PIECE_BYTES", 16)
+    found = {r.object_key.rpartition("/")[2]: r for r in object_facts(scan_objects(spark, root)).collect()}
+    assert found[os.path.basename(path)] == whole[0] and whole[0].records == 60
+    assert found["damaged.txt.gz"].error
+    assert found["damaged.txt.gz"].compressed == os.path.getsize(path) - 40
+
+
+def test_a_frame_without_rows_starts_no_python(spark):
+    from auditlake.session import empty
+
+    frame = empty(spark, "a string, b struct<c: int>")
+    assert frame.schema.simpleString() == "struct<a:string,b:struct<c:int>>" and frame.count() == 0
+    assert "RDD" not in frame._jdf.queryExecution().executedPlan().toString()
