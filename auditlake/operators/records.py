@@ -6,7 +6,7 @@ import functools
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlake.functions.times import ts_lit
@@ -20,10 +20,13 @@ EVENT_KEYS = ("source", "org_id", "instance", "event_type", "event_id")
 def dedup(df: DataFrame, key: str = "event_id", keys: Sequence[str] = ()) -> DataFrame:
     """One row per id; rows without an id are all kept and not shuffled.
 
-    ``keys`` are further columns that have to be equal; nulls are equal to each other.
+    ``keys`` are further columns that have to be equal; nulls are equal to each other. Rows are brought
+    together first: a task would else sort all that it reads, to find the few repeats of its own.
     """
     keyless = F.coalesce(F.col(key), F.lit("")) == ""
-    return df.where(~keyless).dropDuplicates([*keys, key]).unionByName(df.where(keyless))
+    same = Window.partitionBy(*keys, key).orderBy(key)
+    numbered = df.where(~keyless).repartition(*keys, key).withColumn("__copy", F.row_number().over(same))
+    return numbered.where(F.col("__copy") == 1).drop("__copy").unionByName(df.where(keyless))
 
 
 def duplicate_report(df: DataFrame, key: str = "event_id") -> DataFrame:

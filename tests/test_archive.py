@@ -593,3 +593,12 @@ def test_a_frame_without_rows_starts_no_python(spark):
     frame = empty(spark, "a string, b struct<c: int>")
     assert frame.schema.simpleString() == "struct<a:string,b:struct<c:int>>" and frame.count() == 0
     assert "RDD" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeats_are_dropped_behind_the_shuffle(spark, root):
+    from auditlake.plans.compaction import curated_rows
+
+    write_archive(records(spark), root)
+    plan = curated_rows(read_archive(spark, root))._jdf.queryExecution().executedPlan().toString()
+    # In front of the shuffle a task reads whole objects; it must not sort their lines.
+    assert plan.count("Exchange") == 1 and "Sort" not in plan.rsplit("Exchange", 1)[-1]
